@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The code points that count as whitespace when a field is
 # stripped (ASCII, the four separators 1C..1F and the Unicode spaces).
@@ -95,7 +96,7 @@ def _outside_quotes(text: str | None) -> str | None:
     return _OUTSIDE_QUOTES.sub(lambda m: _RUBY_TOKENS.get(m.group(0), m.group(0)), text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ruby_outside_quotes(s: pd.Series) -> pd.Series:
     return s.map(_outside_quotes, na_action="ignore")
 

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.ranges import in_order, next_in_order
+from millrace.session import materialize
+
+# A partitioned table of daily folders reaches this after 27 years.
+MAX_LISTED_PARTITIONS = 10_000
 
 
 def union_all(*frames: DataFrame, fill_missing: bool = False) -> DataFrame:
@@ -42,32 +46,27 @@ def delete_insert_partitions(
 ) -> None:
     """`delete_insert` on a partitioned Parquet table, rewriting touched partitions only.
 
-    `partition` must be one of the keys. The semi-join on the staged partition
-    values prunes the scan to the folders that will be replaced.
+    `partition` must be one of the keys. The staged partition values become
+    literals, so the scan lists only the folders that will be replaced; with
+    more values than `MAX_LISTED_PARTITIONS` a semi-join picks the rows instead.
     """
     target = spark.read.schema(stage.schema).parquet(path)
     touched = stage.select(partition).distinct()
-    merged = delete_insert(target.join(touched, partition, "left_semi"), stage, keys)
-    staging = materialize_beside(merged, path)
+    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(values) <= MAX_LISTED_PARTITIONS:
+        target = target.where(F.col(partition).isin([v for v in values if v is not None]))
+    else:
+        target = target.join(touched, partition, "left_semi")
+    # A table cannot be read and overwritten at once: write aside first.
+    merged = materialize(delete_insert(target, stage, keys), "partitions")
     (
-        spark.read.schema(stage.schema)
-        .parquet(staging)
-        .write.mode("overwrite")
+        merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
 
 
-def materialize_beside(df: DataFrame, path: str) -> str:
-    """Write next to `path`, since a table cannot be read and overwritten at once."""
-    from millrace.session import scratch_path
-
-    staging = scratch_path(df.sparkSession, path.rstrip("/").rsplit("/", 1)[-1] + "-staged")
-    df.write.parquet(staging)
-    return staging
-
-
 def swap_table(df: DataFrame, table: str) -> None:
     """Replace `table` by `df`, which may read it: write aside, drop, rename.
 
@@ -95,27 +94,31 @@ def snapshot(history: DataFrame, current: DataFrame, key: str, updated_at: str)
 
     `history` has the columns of `current` plus `valid_from` and `valid_to`;
     an open row has a null `valid_to`. `current` has one row per key, and so do
-    the open rows: the join is one to one, and closed rows are passed through.
+    the open rows: one join, one to one, gives the ended and the added rows.
+    Closed rows are passed through.
     """
     columns = current.columns
     is_open = F.col("valid_to").isNull()
-    open_rows, closed = history.where(is_open), history.where(~is_open)
-    new = current.select(F.col(key).alias("_key"), F.col(updated_at).alias("_seen"))
-    changed = F.col("_seen") > F.col("valid_from")
-    ended = (
-        open_rows.join(new, open_rows[key] == F.col("_key"), "left")
-        .withColumn("valid_to", F.when(changed, F.col("_seen")))
-        .select(*columns, "valid_from", "valid_to")
+    old = history.where(is_open).select(
+        F.col(key).alias("_key"), F.struct(*columns, "valid_from").alias("old")
     )
-    seen = open_rows.select(F.col(key).alias("_key"), F.col("valid_from").alias("_known"))
-    is_new = F.col("_known").isNull() | (F.col(updated_at) > F.col("_known"))
-    added = (
-        current.join(seen, current[key] == F.col("_key"), "left")
-        .where(is_new)
-        .select(*columns, F.col(updated_at).alias("valid_from"))
-        .withColumn("valid_to", F.lit(None).cast(current.schema[updated_at].dataType))
+    new = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
+    seen = F.col(f"new.{updated_at}")
+    changed = seen > F.col("old.valid_from")
+    never = F.lit(None).cast(current.schema[updated_at].dataType)
+
+    def row(side: str, valid_from: Column, valid_to: Column) -> Column:
+        kept = [F.col(f"{side}.{c}").alias(c) for c in columns]
+        return F.struct(*kept, valid_from.alias("valid_from"), valid_to.alias("valid_to"))
+
+    kept_or_ended = row("old", F.col("old.valid_from"), F.when(changed, seen))
+    added = row("new", seen, never)
+    rows = F.array(
+        F.when(F.col("old").isNotNull(), kept_or_ended),
+        F.when(F.col("new").isNotNull() & (F.col("old").isNull() | changed), added),
     )
-    return closed.unionByName(ended).unionByName(added)
+    merged = old.join(new, "_key", "full").select(F.explode(F.array_compact(rows)).alias("r"))
+    return history.where(~is_open).unionByName(merged.select("r.*"))
 
 
 def history_from_versions(
