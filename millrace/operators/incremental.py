@@ -9,15 +9,16 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_unique
+
 
 def not_yet_loaded(df: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key tuple is absent from `loaded`. A null key is never loaded.
 
     `loaded` is cut to its distinct keys before the shuffle, so copies there
-    cost nothing; a hot key of `df` is split by the adaptive join.
+    cost nothing.
     """
-    keys = list(keys)
-    return df.join(loaded.select(*keys).distinct(), keys, "left_anti")
+    return join_unique(df, loaded.select(*keys).distinct(), keys, "left_anti")
 
 
 def not_in(df: DataFrame, known: DataFrame, key: str, null_rejects_all: bool = False) -> DataFrame:
@@ -27,7 +28,7 @@ def not_in(df: DataFrame, known: DataFrame, key: str, null_rejects_all: bool = F
     `null_rejects_all`.
     """
     values = known.select(key).distinct()
-    out = df.where(F.col(key).isNotNull()).join(values, key, "left_anti")
+    out = join_unique(df.where(F.col(key).isNotNull()), values, [key], "left_anti")
     if null_rejects_all and not known.where(F.col(key).isNull()).isEmpty():
         return df.limit(0)
     return out
@@ -35,7 +36,7 @@ def not_in(df: DataFrame, known: DataFrame, key: str, null_rejects_all: bool = F
 
 def already_stored(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows whose key is already in `stored`."""
-    return df.join(stored.select(key).distinct(), key, "left_semi")
+    return join_unique(df, stored.select(key).distinct(), [key], "left_semi")
 
 
 def high_watermark(target: DataFrame, column: str) -> Any | None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import DIGITS, LETTERS, POSTAL_PREFIX
+from millrace.operators.joins import join_unique
 from millrace.sources.layout import (
     HEADER_PREFIX,
     MARKER_SUFFIX,
@@ -190,7 +191,7 @@ def table_checks(
         results.append(copies.agg(n).select(F.lit("unique").alias("check"), F.lit(c).alias("column"), "failures"))
     for c, (parent, parent_key) in (relationships or {}).items():
         keys = parent.select(F.col(parent_key).alias(c)).distinct()
-        orphans = df.where(F.col(c).isNotNull()).join(keys, c, "left_anti")
+        orphans = join_unique(df.where(F.col(c).isNotNull()), keys, [c], "left_anti")
         results.append(orphans.agg(n).select(F.lit("relationships").alias("check"), F.lit(c).alias("column"), "failures"))
     out = results[0]
     for more in results[1:]:

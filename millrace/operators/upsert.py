@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import join_unique
 from millrace.operators.ranges import in_order, next_in_order
 from millrace.session import materialize
+from millrace.sinks.tables import write_partitions
 
 # A partitioned table of daily folders reaches this after 27 years.
 MAX_LISTED_PARTITIONS = 10_000
@@ -36,9 +38,8 @@ def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> D
     Keys compare with `=`: a null key matches nothing, and copies inside the
     stage all stay.
     """
-    keys = list(keys)
-    kept = target.join(stage.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(stage)
+    kept = join_unique(target, stage.select(*keys).distinct(), keys, "left_anti")
+    return kept.select(*target.columns).unionByName(stage)
 
 
 def delete_insert_partitions(
@@ -56,15 +57,10 @@ def delete_insert_partitions(
     if len(values) <= MAX_LISTED_PARTITIONS:
         target = target.where(F.col(partition).isin([v for v in values if v is not None]))
     else:
-        target = target.join(touched, partition, "left_semi")
+        target = join_unique(target, touched, [partition], "left_semi")
     # A table cannot be read and overwritten at once: write aside first.
     merged = materialize(delete_insert(target, stage, keys), "partitions")
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    write_partitions(merged, path, partition)
 
 
 def swap_table(df: DataFrame, table: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import local_to_utc
+from millrace.operators.joins import join_unique
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -50,7 +51,7 @@ def journal_lines(transactions: DataFrame, entries: DataFrame) -> DataFrame:
 
     A transaction gives a credit line, a debit line or both, by which amounts
     are not zero. Lines stay rows: a group of any size is never packed into one
-    value. `entries` is unique per group, so a hot group is split by the join.
+    value. `entries` is unique per group, so the join can split a hot group.
     """
     accepted = entries.where(F.col("status") == ACCEPTED).select("correlation_guid")
     amount = lambda c: F.coalesce(c, F.lit(0))
@@ -68,7 +69,7 @@ def journal_lines(transactions: DataFrame, entries: DataFrame) -> DataFrame:
         F.array(F.when(credit != 0, line(credit, none, 1)), F.when(debit != 0, line(none, debit, 2)))
     )
     return (
-        transactions.join(accepted, "correlation_guid", "left_semi")
+        join_unique(transactions, accepted, ["correlation_guid"], "left_semi")
         .withColumn("line", F.explode(sides))
         .select(
             "correlation_guid",

@@ -29,9 +29,17 @@ from millrace.sources.reports import NAME_PREFIX, PAGE_SCHEMA, flatten_report, n
 _ROWS_PER_PAGE = 100
 
 
-def _pages(t: Tables) -> DataFrame:
-    """Events as landed report pages; a page holds a fixed number of event ids."""
+def _header(*dimensions: str):
     name = lambda n: F.lit(NAME_PREFIX + n)
+    entries = F.array(F.struct(name("sessions").alias("name")), F.struct(name("adCost").alias("name")))
+    return F.struct(
+        F.array(*[name(d) for d in dimensions]).alias("dimensions"),
+        F.struct(entries.alias("metricHeaderEntries")).alias("metricHeader"),
+    )
+
+
+def _pages(t: Tables) -> DataFrame:
+    """Events as landed report pages of a hundred rows, by their place in the file."""
     row = F.struct(
         F.array(F.date_format("ts", "yyyyMMdd"), F.col("user_id").cast("string"), "event_type").alias("dimensions"),
         F.array(
@@ -39,17 +47,13 @@ def _pages(t: Tables) -> DataFrame:
             F.struct(F.array(F.col("event_id").cast("string"), F.col("value").cast("string")).alias("values")),
         ).alias("metrics"),
     )
-    page = F.floor(F.col("event_id") / _ROWS_PER_PAGE)
-    entries = F.array(F.struct(name("sessions").alias("name")), F.struct(name("adCost").alias("name")))
-    header = F.struct(
-        F.array(name("date"), name("dimension6"), name("eventAction")).alias("dimensions"),
-        F.struct(entries.alias("metricHeaderEntries")).alias("metricHeader"),
-    )
-    packed = t.events.groupBy(page.alias("page")).agg(F.collect_list(row).alias("rows"))
+    page = F.floor(F.col("_metadata.row_index") / _ROWS_PER_PAGE)
+    placed = t.events.select(F.col("_metadata.file_name").alias("file"), page.alias("page"), row.alias("row"))
+    packed = placed.groupBy("file", "page").agg(F.collect_list("row").alias("rows"))
     report = F.struct(
-        header.alias("columnHeader"),
+        _header("date", "dimension6", "eventAction").alias("columnHeader"),
         F.struct("rows").alias("data"),
-        F.when(F.size("rows") == _ROWS_PER_PAGE, (F.col("page") + 1).cast("string")).alias("nextPageToken"),
+        F.lit(None).cast("string").alias("nextPageToken"),
     )
     place = scratch_path(t.spark, "pages")
     packed.select(F.array(report).alias("reports")).write.json(place)
@@ -67,33 +71,35 @@ def report_flatten(t: Tables):
     return flatten_report(_pages(t), columns, "2024-01-31", "2024-02-01 00:00:00.000")
 
 
-@query("""
-    select cast(page + 1 as varchar) as next_page_token
-    from (select event_id // 100 as page, count(*) as n from events group by 1) where n = 100
-""")
+@query("select cast(event_id + 1 as varchar) as next_page_token from events where event_type <> 'view'")
 def report_page_tokens(t: Tables):
-    return next_page_token(_pages(t))
+    report = F.struct(
+        _header("date").alias("columnHeader"),
+        F.when(F.col("event_type") != "view", (F.col("event_id") + 1).cast("string")).alias("nextPageToken"),
+    )
+    return next_page_token(t.events.select(F.array(report).alias("reports")))
 
 
 @query("""
-    with calls as (select distinct conv_id, turn // 8 as part from conversations),
-    talk as (select conv_id, turn // 8 as part, turn from conversations where role <> 'system')
-    select 'c' || calls.conv_id || '-' || calls.part as call_id,
-      case when turn is not null then 'r' || calls.conv_id || '-' || turn end as recording_id,
-      case when turn is not null then 'media/' || turn end as media_link
-    from calls left join talk on calls.conv_id = talk.conv_id and calls.part = talk.part
+    with turns as (select 'c' || conv_id || '-' || turn as call_id, role, md5(text) as id from conversations)
+    select call_id, id as recording_id, 'media/' || id as media_link from turns where role <> 'system'
+    union all select call_id, id || 'b', 'media/' || id || 'b' from turns where role = 'assistant'
+    union all select call_id, null, null from turns where role = 'system'
 """)
 def call_recordings(t: Tables):
-    part = F.floor(F.col("turn") / 8).alias("part")
-    media = F.struct(F.struct(F.concat(F.lit("media/"), F.col("turn")).alias("href")).alias("media")).alias("_links")
-    recording = F.struct(F.concat(F.lit("r"), "conv_id", F.lit("-"), "turn").alias("id"), media)
-    # A conversation is cut into calls of eight turns, so a long one stays many small rows.
-    calls = t.conversations.groupBy("conv_id", part).agg(
-        F.collect_list(F.when(F.col("role") != "system", recording)).alias("recordings")
+    """Turns as calls: the assistant's have two recordings, the user's one, the system's none."""
+
+    def recording(suffix: str):
+        key = F.concat(F.md5("text"), F.lit(suffix))
+        media = F.struct(F.struct(F.concat(F.lit("media/"), key).alias("href")).alias("media"))
+        return F.struct(key.alias("id"), media.alias("_links"))
+
+    second = F.when(F.col("role") == "assistant", recording("b"))
+    nested = F.struct(F.struct(F.array_compact(F.array(recording(""), second)).alias("recordings")).alias("_embedded"))
+    call = F.struct(F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("call_id"))
+    landed = t.conversations.select(
+        call.alias("call"), F.when(F.col("role") != "system", nested).alias("recordings")
     )
-    call = F.struct(F.concat(F.lit("c"), "conv_id", F.lit("-"), "part").alias("call_id"))
-    nested = F.struct(F.struct("recordings").alias("_embedded"))
-    landed = calls.select(call.alias("call"), F.when(F.size("recordings") > 0, nested).alias("recordings"))
     place = scratch_path(t.spark, "calls")
     landed.write.json(place)
     return explode_recordings(
@@ -102,7 +108,7 @@ def call_recordings(t: Tables):
 
 
 @query("""
-    select strftime(d.day, '%Y-%m-%d') as day, count(e.event_id) as new_calls
+    select strftime(d.day, '%Y-%m-%d') as day, 2 * count(e.event_id) as new_calls
     from (select unnest(generate_series(date '2023-12-30', date '2024-01-20', interval 1 day)) as day) d
     left join (select * from events where event_id not in (select event_id from events where event_type = 'view')) e
       on cast(e.ts as date) = cast(d.day as date)
@@ -110,11 +116,16 @@ def call_recordings(t: Tables):
 """)
 def call_report_days(t: Tables):
     """New calls per day of a catch-up interval, from reports that hold arrays of entries."""
-    entry = F.struct(F.col("event_id").alias("call_id"), F.col("ts").cast("string").alias("at"))
-    page = F.floor(F.col("event_id") / _ROWS_PER_PAGE)
-    reports = t.events.groupBy(F.to_date("ts"), page).agg(F.collect_list(entry).alias("entries"))
+
+    def entry(side: str):
+        key = F.concat(F.col("event_id").cast("string"), F.lit(side))
+        return F.struct(key.alias("call_id"), F.col("ts").cast("string").alias("at"))
+
+    reports = t.events.select(F.array(entry("a"), entry("b")).alias("entries"))
     calls = report_entries(reports).select("call.call_id", F.to_timestamp("call.at").alias("at"))
-    stored = t.events.where("event_type = 'view'").select(F.col("event_id").alias("call_id"))
+    sides = F.explode(F.array(F.lit("a"), F.lit("b")))
+    views = t.events.where("event_type = 'view'").select("event_id", sides.alias("side"))
+    stored = views.select(F.concat(F.col("event_id").cast("string"), "side").alias("call_id"))
     fresh = not_in(calls, stored, "call_id")
     days = day_slices(t.spark, dt.date(2023, 12, 30), dt.date(2024, 1, 21))
     per_day = fresh.groupBy(F.date_trunc("day", "at").alias("from_ts")).agg(F.count(F.lit(1)).alias("n"))

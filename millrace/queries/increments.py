@@ -17,6 +17,7 @@ from millrace.operators.incremental import (
     not_yet_loaded,
     on_day,
 )
+from millrace.operators.pivots import pivot_attributes
 from millrace.operators.ranges import with_row_id
 from millrace.operators.typed import parse_spec, typed_select
 from millrace.operators.upsert import (
@@ -262,8 +263,7 @@ def key_filter_prune(t: Tables):
 """)
 def attribute_pivot(t: Tables):
     names = {"view": "sin", "click": "suffix", "purchase": "file_number"}
-    best = t.events.groupBy("user_id").pivot("event_type", list(names)).agg(F.max("value"))
-    return best.withColumnsRenamed(names)
+    return pivot_attributes(t.events, "user_id", "event_type", "value", names)
 
 
 @query("""

@@ -120,7 +120,7 @@ def swap_replace(t: Tables):
 @query("""
     select 'region' as "table", 'loaded' as status, count(*) as rows from region
     union all select 'supplier', 'loaded', count(*) from supplier
-    union all select 'lineitem', 'loaded', count(*) from lineitem
+    union all select 'orders', 'loaded', count(*) from orders
     union all select 'nothing', 'empty', 0
     union all select 'versions', 'skipped', null
     union all select 'absent', 'failed: PATH_NOT_FOUND', null
@@ -131,7 +131,7 @@ def land_tables(t: Tables):
         {
             "region": lambda: t.region,
             "supplier": lambda: t.supplier,
-            "lineitem": lambda: t.lineitem,
+            "orders": lambda: t.orders,
             "nothing": lambda: t.region.where("r_regionkey < 0"),
             "versions": lambda: t.orders,
             "absent": lambda: t.no_such_table,

@@ -45,11 +45,14 @@ def with_leading(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     return df.select(*[v.alias(name) for name, v in values.items()], "*")
 
 
-def write_dated_copy(df: DataFrame, path: str, label: Column | str, column: str = "import_month") -> None:
-    """Keep a copy per label in one partitioned table; a rerun replaces its own."""
-    value = label if isinstance(label, Column) else F.lit(label)
+def write_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Write a partitioned Parquet table, replacing only the partitions that `df` holds.
+
+    The rebalance gathers each partition in few files and splits a hot one over
+    several tasks.
+    """
     (
-        df.withColumn(column, value)
+        df.hint("rebalance", F.col(column))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
@@ -57,6 +60,15 @@ def write_dated_copy(df: DataFrame, path: str, label: Column | str, column: str
     )
 
 
+def write_dated_copy(df: DataFrame, path: str, label: Column | str, column: str = "import_month") -> None:
+    """Keep a copy per label in one partitioned table; a rerun replaces its own."""
+    if isinstance(label, Column):
+        write_partitions(df.withColumn(column, label), path, column)
+    else:
+        # One label is one folder: no row has to move.
+        df.write.mode("overwrite").parquet(f"{path}/{column}={label}")
+
+
 def land_tables(
     spark: SparkSession,
     sources: Mapping[str, Callable[[], DataFrame]],

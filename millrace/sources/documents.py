@@ -32,9 +32,10 @@ def _fetch(path: str) -> tuple[bytes | None, datetime | None, str | None]:
 def fetch_documents(keys: DataFrame, path_column: str, tasks: int = 0) -> DataFrame:
     """Add `body`, `last_modified_at` and `fetch_error` to each key row.
 
-    Only listed documents are opened, spread over the tasks that hold the keys;
-    a folder scan would read every document to keep a few. A document that
-    cannot be read is reported in its row.
+    Only listed documents are opened; a folder scan would read every document to
+    keep a few. The keys are spread over `tasks` tasks (by default the shuffle
+    partitions), since a short key list would otherwise end up in one. A
+    document that cannot be read is reported in its row.
     """
     columns = keys.columns
 
@@ -50,5 +51,6 @@ def fetch_documents(keys: DataFrame, path_column: str, tasks: int = 0) -> DataFr
                 yield part
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields)
-    spread = keys.repartition(tasks) if tasks else keys
+    tasks = tasks or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = keys.repartition(tasks, path_column)
     return spread.select(*columns).mapInPandas(run, f"{fields}, {FETCHED}")

@@ -33,8 +33,7 @@ REPORT_KEYS = {
 
 def _value_of(name: str, headers: Column, values: Column) -> Column:
     """The value under header `name`; null when either list is too short."""
-    position = F.nullif(F.array_position(headers, name), F.lit(0)).cast("int")
-    return F.try_element_at(values, position)
+    return F.get(values, F.array_position(headers, name).cast("int") - 1)
 
 
 def flatten_report(
@@ -46,7 +45,7 @@ def flatten_report(
     the same name and either wins over the run date; of several date ranges the
     last one stays. A row without any date range has no values at all.
     """
-    report = F.try_element_at("reports", F.lit(1))
+    report = F.get("reports", F.lit(0))
     clean = lambda h: F.replace(h, F.lit(NAME_PREFIX), F.lit(""))
     metric_entries = report["columnHeader"]["metricHeader"]["metricHeaderEntries"]
     rows = pages.select(
@@ -55,7 +54,7 @@ def flatten_report(
         F.explode(report["data"]["rows"]).alias("row"),
     )
     has_range = F.size(F.col("row.metrics")) > 0
-    last_range = F.try_element_at("row.metrics", F.lit(-1))["values"]
+    last_range = F.get("row.metrics", F.size("row.metrics") - 1)["values"]
     constants = {"date": run_date, "import_ts": import_ts}
     out = []
     for name in ["date", "import_ts", *columns]:
@@ -72,5 +71,5 @@ def flatten_report(
 
 def next_page_token(pages: DataFrame) -> DataFrame:
     """The pages that name a further page."""
-    token = F.try_element_at("reports", F.lit(1))["nextPageToken"]
+    token = F.get("reports", F.lit(0))["nextPageToken"]
     return pages.select(token.alias("next_page_token")).where(token.isNotNull())
