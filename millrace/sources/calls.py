@@ -15,9 +15,9 @@ struct<_embedded: struct<recordings: array<struct<
 
 def day_slices(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per whole day of [start, end): `from_ts`, `to_ts`."""
-    days = F.sequence(F.lit(start), F.date_sub(F.lit(end), 1), F.expr("interval 1 day"))
-    one = spark.range(1).where(F.lit(start < end))
-    return one.select(F.explode(days).alias("d")).select(
+    last = max(start, end - dt.timedelta(days=1))
+    days = F.sequence(F.lit(start), F.lit(last), F.expr("interval 1 day"))
+    return spark.range(1 if start < end else 0).select(F.explode(days).alias("d")).select(
         F.col("d").cast("timestamp").alias("from_ts"),
         F.date_add("d", 1).cast("timestamp").alias("to_ts"),
     )
