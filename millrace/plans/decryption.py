@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.semi import path
 from millrace.operators.crypto import decrypt_columns, postprocessors_for
 from millrace.operators.incremental import not_in
-from millrace.operators.upsert import keep_latest, union_all
+from millrace.operators.upsert import keep_latest, swap_table, union_all
 
 LATEST_BY = ("updated_at", "_hash")
 
@@ -30,7 +30,7 @@ class DecryptionSpec:
 
     @property
     def target(self) -> str:
-        return f"{self.schema}${self.table}"
+        return f"{self.schema}__{self.table}"
 
 
 def landed_rows(landed: DataFrame, spec: DecryptionSpec) -> DataFrame:
@@ -62,3 +62,14 @@ def decrypt_increment(
         return fresh
     return keep_latest(union_all(fresh, existing), ["id"], LATEST_BY)
 
+
+def refresh_decrypted(
+    landed: DataFrame, spec: DecryptionSpec, keys: DataFrame, target_schema: str
+) -> str:
+    """Bring the decrypted table of one landed table up to date; gives its name."""
+    spark = landed.sparkSession
+    table = f"{target_schema}.{spec.target}"
+    existing = spark.table(table) if spark.catalog.tableExists(table) else None
+    merged = decrypt_increment(landed_rows(landed, spec), existing, spec, keys)
+    swap_table(merged, table)
+    return table

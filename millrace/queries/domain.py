@@ -21,10 +21,11 @@ from millrace.plans.journal import journal_entries as entries_of
 from millrace.plans.journal import journal_lines as lines_of
 from millrace.plans.journal import tally
 from millrace.queries.support import Entity, Tables, query
-from millrace.session import scratch_path
+from millrace.plans.reports import load_report
+from millrace.session import scratch_path, scratch_schema
 from millrace.sources.calls import RECORDINGS_SCHEMA, day_slices, explode_recordings, report_entries
 from millrace.sources.files import read_json
-from millrace.sources.reports import NAME_PREFIX, PAGE_SCHEMA, flatten_report, next_page_token
+from millrace.sources.reports import NAME_PREFIX, PAGE_SCHEMA, Report, flatten_report, next_page_token
 
 _ROWS_PER_PAGE = 100
 
@@ -38,8 +39,9 @@ def _header(*dimensions: str):
     )
 
 
-def _pages(t: Tables) -> DataFrame:
+def _pages(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """Events as landed report pages of a hundred rows, by their place in the file."""
+    events = t.events if events is None else events
     row = F.struct(
         F.array(F.date_format("ts", "yyyyMMdd"), F.col("user_id").cast("string"), "event_type").alias("dimensions"),
         F.array(
@@ -48,7 +50,7 @@ def _pages(t: Tables) -> DataFrame:
         ).alias("metrics"),
     )
     page = F.floor(F.col("_metadata.row_index") / _ROWS_PER_PAGE)
-    placed = t.events.select(F.col("_metadata.file_name").alias("file"), page.alias("page"), row.alias("row"))
+    placed = events.select(F.col("_metadata.file_name").alias("file"), page.alias("page"), row.alias("row"))
     packed = placed.groupBy("file", "page").agg(F.collect_list("row").alias("rows"))
     report = F.struct(
         _header("date", "dimension6", "eventAction").alias("columnHeader"),
@@ -71,6 +73,26 @@ def report_flatten(t: Tables):
     return flatten_report(_pages(t), columns, "2024-01-31", "2024-02-01 00:00:00.000")
 
 
+@query("""
+    with stage as (select * from events where ts >= timestamp '2024-01-10')
+    select strftime(ts, '%Y%m%d') as date, import_ts, cast(user_id as varchar) as dimension6,
+      event_type as "eventAction", cast(event_id as varchar) as sessions from (
+        select *, 'first' as import_ts from events e where ts < timestamp '2024-01-20' and not exists (
+          select 1 from stage s where s.user_id = e.user_id and s.event_type = e.event_type
+            and cast(s.ts as date) = cast(e.ts as date))
+        union all select *, 'second' from stage)
+""")
+def report_upsert(t: Tables):
+    """Two overlapping runs of a report; the second replaces records with equal keys."""
+    report = Report(("dimension6", "eventAction"), ("sessions",), ("dimension6", "eventAction", "date"))
+    table = f"{scratch_schema(t.spark, 'reports')}.events"
+    early = t.events.where("ts < timestamp_ntz '2024-01-20'")
+    late = t.events.where("ts >= timestamp_ntz '2024-01-10'")
+    load_report(_pages(t, early), report, table, "2024-01-20", "first")
+    load_report(_pages(t, late), report, table, "2024-01-31", "second")
+    return t.spark.table(table)
+
+
 @query("select cast(event_id + 1 as varchar) as next_page_token from events where event_type <> 'view'")
 def report_page_tokens(t: Tables):
     report = F.struct(

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.semi import as_variant, path, typed_paths
 from millrace.operators.crypto import decrypt_columns as decrypt_of
-from millrace.operators.crypto import seal, text_or_null
+from millrace.operators.crypto import postprocessors_for, seal, text_or_null
 from millrace.operators.upsert import replicate_tables, swap_table
 from millrace.operators.wide import part_columns, rejoin_parts, write_parts
-from millrace.plans.decryption import DecryptionSpec, decrypt_increment, landed_rows
+from millrace.plans.decryption import DecryptionSpec, refresh_decrypted
 from millrace.plans.ingest import (
     open_documents,
     owned_documents,
@@ -19,6 +19,7 @@ from millrace.plans.ingest import (
     stored_bank_documents,
     stored_reports,
 )
+from millrace.plans.objects import load_object
 from millrace.queries.support import Tables, query
 from millrace.session import scratch_path, scratch_schema
 from millrace.sinks.tables import append_table, ensure_table, land_tables as land_of
@@ -73,6 +74,31 @@ def decrypt_columns(t: Tables):
     return plain.select("id", "name", "segment")
 
 
+@query("""
+    select c_custkey as id, case when c_acctbal >= 0 then
+      '{"segment": "' || c_mktsegment || '", "nation": ' || c_nationkey || ', "limit": 12.5, "since": "2020-01-02"}'
+      end as profile from customer
+""")
+def decrypt_yaml(t: Tables):
+    """Encrypted YAML objects as JSON text."""
+    rows = t.customer.join(_key_table(t), F.col("c_nationkey") == F.col("n_nationkey"))
+    profile = F.concat(
+        F.lit("--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\nsegment: "),
+        "c_mktsegment",
+        F.lit("\nnation: "),
+        "c_nationkey",
+        F.lit("\nlimit: !ruby/object:BigDecimal 18:0.125e2\nsince: 2020-01-02\n"),
+    )
+    nonce = F.substring(F.unhex(F.md5(F.concat(F.lit("profile"), "c_custkey"))), 1, 12)
+    plain = F.when(F.col("c_acctbal") >= 0, profile)
+    sealed = rows.select(
+        F.col("c_custkey").alias("id"),
+        seal(plain, F.unbase64("wrapped_key"), F.col("data_key"), nonce).alias("encrypted_profile"),
+    )
+    keys = _key_table(t).select("wrapped_key", "data_key")
+    return decrypt_of(sealed, ["profile"], keys, "id", post=postprocessors_for(["profile"], "yaml"))
+
+
 @query("""
     select c_custkey as id, strftime(timestamp '2024-01-01' + to_days(cast(c_nationkey as integer)), '%Y-%m-%d') as updated_on,
       case when c_acctbal >= 0 then c_name end as name
@@ -84,12 +110,11 @@ def decrypt_increment_merge(t: Tables):
     keys = _key_table(t).select("wrapped_key", "data_key")
     place = scratch_path(t.spark, "sealed")
     as_variant(_sealed_customers(t).drop("encrypted_segment")).write.parquet(place)
-    rows = landed_rows(t.spark.read.parquet(place), spec)
-    first = decrypt_increment(rows.where("updated_at < timestamp_ntz '2024-01-10'"), None, spec, keys)
-    table = f"{scratch_schema(t.spark, 'pii')}.customers"
-    swap_table(first, table)
-    merged = decrypt_increment(rows, t.spark.table(table), spec, keys)
-    return merged.select("id", F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"), "name")
+    landed, schema = t.spark.read.parquet(place), scratch_schema(t.spark, "pii")
+    early = path("fields", "updated_at", "timestamp_ntz") < F.lit("2024-01-10").cast("timestamp_ntz")
+    refresh_decrypted(landed.where(early), spec, keys, schema)
+    table = refresh_decrypted(landed, spec, keys, schema)
+    return t.spark.table(table).select("id", F.date_format("updated_at", "yyyy-MM-dd").alias("updated_on"), "name")
 
 
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, "
@@ -103,6 +128,24 @@ def wide_split_rejoin(t: Tables):
     return whole.withColumn("o_orderdate", F.to_date("o_orderdate").cast("string")).select(*t.orders.columns)
 
 
+@query("""
+    select o_orderkey as "Id", cast(cast(o_orderdate as date) as varchar) as stamp, o_custkey, o_orderpriority,
+      '2024-02-01 00:00:00.000' as import_ts
+    from orders where o_orderstatus <> 'P'
+""")
+def object_increment(t: Tables):
+    """An object split in parts, loaded in two runs, and put together again."""
+    source = t.orders.withColumnsRenamed({"o_orderkey": "Id", "o_orderdate": "SystemModstamp"})
+    schema, load_ts = scratch_schema(t.spark, "objects"), "2024-02-01 00:00:00.000"
+    early = source.where("SystemModstamp < timestamp_ntz '1998-01-01'")
+    for rows in (early, source):
+        load_object(rows, "Loan", schema, load_ts, filters=["o_orderstatus <> 'P'"], parts=2, threshold=1)
+    first, second = (t.spark.table(f"{schema}.Loan___PART_{i}") for i in range(2))
+    whole = first.join(second.drop("import_ts"), ["Id", "SystemModstamp"])
+    stamp = F.to_date("SystemModstamp").cast("string").alias("stamp")
+    return whole.select("Id", stamp, "o_custkey", "o_orderpriority", "import_ts")
+
+
 @query("""
     select n_nationkey, n_name, n_regionkey from nation
     union all select n_nationkey, n_name || '*', n_regionkey from nation

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +21,61 @@ reports array<struct<
 """
 NAME_PREFIX = "ga:"
 
-# The key columns that identify a record of each report.
-REPORT_KEYS = {
-    "usr": ("dimension6", "dimension5", "sessions", "date"),
-    "ad_cost": ("adClicks", "adCost", "adwordsCampaignID", "campaign", "keyword", "date"),
-    "cx": ("dimension6", "eventAction", "dimension1"),
-    "server_cx": ("dimension5", "eventAction", "dimension1"),
-    "acquisition": ("dimension6", "dimension1"),
-    "acquisition_funnel": ("dimension6", "dimension1"),
+
+@dataclass(frozen=True)
+class Report:
+    """Dimensions and metrics of a report, and the columns that identify a record."""
+
+    dimensions: tuple[str, ...]
+    metrics: tuple[str, ...]
+    keys: tuple[str, ...]
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.dimensions, *self.metrics]
+
+
+# The known reports.
+REPORTS = {
+    "usr": Report(
+        ("dimension6", "dimension5"),
+        ("sessions",),
+        ("dimension6", "dimension5", "sessions", "date"),
+    ),
+    "ad_cost": Report(
+        ("date", "adwordsCampaignID", "campaign", "keyword"),
+        ("adClicks", "adCost"),
+        ("adClicks", "adCost", "adwordsCampaignID", "campaign", "keyword", "date"),
+    ),
+    "cx": Report(
+        ("dimension6", "hostname", "pagePath", "eventAction", "eventCategory", "dimension1"),
+        ("users",),
+        ("dimension6", "eventAction", "dimension1"),
+    ),
+    "server_cx": Report(
+        (
+            "dimension5", "hostname", "pagePath", "eventAction", "eventCategory", "dimension1",
+            "dateHourMinute", "date",
+        ),
+        ("users",),
+        ("dimension5", "eventAction", "dimension1"),
+    ),
+    "acquisition": Report(
+        (
+            "dimension6", "sourceMedium", "landingPagePath", "fullReferrer", "campaign",
+            "adwordsCampaignID", "dimension1", "keyword",
+        ),
+        ("newUsers",),
+        ("dimension6", "dimension1"),
+    ),
+    "acquisition_funnel": Report(
+        (
+            "dimension6", "sourceMedium", "pagePath", "campaign", "adwordsCampaignID", "keyword",
+            "dimension1",
+        ),
+        ("uniquePageViews",),
+        ("dimension6", "dimension1"),
+    ),
 }
 
 
@@ -57,7 +105,7 @@ def flatten_report(
     last_range = F.get("row.metrics", F.size("row.metrics") - 1)["values"]
     constants = {"date": run_date, "import_ts": import_ts}
     out = []
-    for name in ["date", "import_ts", *columns]:
+    for name in dict.fromkeys(["date", "import_ts", *columns]):
         options = [
             _value_of(name, F.col("mets"), last_range),
             _value_of(name, F.col("dims"), F.col("row.dimensions")),

@@ -65,7 +65,7 @@ def test_yaml_post_processing(spark):
 
 def test_decrypt_increment(spark):
     spec = DecryptionSpec("core", "attributes", ("value",), None, ("k1",))
-    assert spec.target == "core$attributes"
+    assert spec.target == "core__attributes"
     keys = _keys(spark).drop("name")
     data = [(1, "2024-01-01", "k1", "a", ""), (2, "2024-01-01", "k1", "b", ""), (3, "2024-01-01", "k2", "c", "")]
     first_rows = landed_rows(as_variant(_sealed(spark, data)), spec)
