@@ -43,9 +43,15 @@ def to_string(c: Column, numeric: bool = False) -> Column:
 
 
 def transliterate_fr(c: Column) -> Column:
-    for ligature, plain in FRENCH_LIGATURES.items():
-        c = F.replace(c, F.lit(ligature), F.lit(plain))
-    return F.translate(c, FRENCH_LETTERS, FRENCH_PLAIN)
+    """French letters to ASCII; other characters stay.
+
+    Text of one byte per character has nothing to replace and skips the work.
+    """
+    plain = c
+    for ligature, letters in FRENCH_LIGATURES.items():
+        plain = F.replace(plain, F.lit(ligature), F.lit(letters))
+    plain = F.translate(plain, FRENCH_LETTERS, FRENCH_PLAIN)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(plain)
 
 
 def clean_name(c: Column) -> Column:

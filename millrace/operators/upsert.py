@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,10 @@ from millrace.sinks.tables import write_partitions
 # A partitioned table of daily folders reaches this after 27 years.
 MAX_LISTED_PARTITIONS = 10_000
 
+BUCKET = "key_bucket"
+
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
+
 
 def union_all(*frames: DataFrame, fill_missing: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=fill_missing), frames)
@@ -42,14 +46,14 @@ def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> D
     return kept.select(*target.columns).unionByName(stage)
 
 
-def delete_insert_partitions(
-    spark: SparkSession, path: str, stage: DataFrame, keys: Sequence[str], partition: str
+def rewrite_partitions(
+    spark: SparkSession, path: str, stage: DataFrame, partition: str, merge: Merge
 ) -> None:
-    """`delete_insert` on a partitioned Parquet table, rewriting touched partitions only.
+    """Merge `stage` into a partitioned Parquet table, rewriting touched partitions only.
 
-    `partition` must be one of the keys. The staged partition values become
-    literals, so the scan lists only the folders that will be replaced; with
-    more values than `MAX_LISTED_PARTITIONS` a semi-join picks the rows instead.
+    The staged partition values become literals, so the scan lists only the
+    folders that will be replaced; with more values than `MAX_LISTED_PARTITIONS`
+    a semi-join picks the rows instead. A repeated run gives the same table.
     """
     target = spark.read.schema(stage.schema).parquet(path)
     touched = stage.select(partition).distinct()
@@ -59,8 +63,41 @@ def delete_insert_partitions(
     else:
         target = join_unique(target, touched, [partition], "left_semi")
     # A table cannot be read and overwritten at once: write aside first.
-    merged = materialize(delete_insert(target, stage, keys), "partitions")
-    write_partitions(merged, path, partition)
+    write_partitions(materialize(merge(target, stage), "partitions"), path, partition)
+
+
+def delete_insert_partitions(
+    spark: SparkSession, path: str, stage: DataFrame, keys: Sequence[str], partition: str
+) -> None:
+    """`delete_insert` on a partitioned table; `partition` must be one of the keys."""
+    rewrite_partitions(spark, path, stage, partition, lambda old, new: delete_insert(old, new, keys))
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Add the bucket of the keys, to partition a table that has no natural partition."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def merge_latest_buckets(
+    spark: SparkSession,
+    path: str,
+    fresh: DataFrame,
+    keys: Sequence[str],
+    latest_by: Sequence[str],
+    buckets: int,
+) -> None:
+    """Merge rows into a table that keeps the latest row per key.
+
+    The table is partitioned by a hash of the keys, so an increment rewrites the
+    buckets of its own keys and leaves the rest of the table alone. Always use
+    the same number of buckets for one table.
+    """
+
+    def latest(*frames: DataFrame) -> DataFrame:
+        return keep_latest(union_all(*frames), keys, latest_by)
+
+    stage = with_bucket(fresh, keys, buckets)
+    rewrite_partitions(spark, path, latest(stage), BUCKET, latest)
 
 
 def swap_table(df: DataFrame, table: str) -> None:

@@ -517,7 +517,8 @@ _RECORD_ID = "translate(substr(md5(c_name), 1, 15), 'abcdef', 'aBcDeF')"
     from ids
 """)
 def record_ids(t: Tables):
-    return t.customer.select("c_custkey", record_id_18(F.expr(_RECORD_ID)).alias("record_id"))
+    ids = t.customer.select("c_custkey", F.expr(_RECORD_ID).alias("id"))
+    return ids.select("c_custkey", record_id_18(F.col("id")).alias("record_id"))
 
 
 RUBY_TEXT = Entity(

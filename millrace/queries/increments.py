@@ -21,8 +21,11 @@ from millrace.operators.pivots import pivot_attributes
 from millrace.operators.ranges import with_row_id
 from millrace.operators.typed import parse_spec, typed_select
 from millrace.operators.upsert import (
+    BUCKET,
     delete_insert,
     delete_insert_partitions,
+    merge_latest_buckets,
+    with_bucket,
     history_from_versions,
     keep_latest as latest_rows,
     snapshot,
@@ -30,6 +33,7 @@ from millrace.operators.upsert import (
 )
 from millrace.queries.support import Entity, Tables, query
 from millrace.session import scratch_path
+from millrace.sinks.tables import write_partitions
 from millrace.sources.extract import usable_fields, watermark_column
 
 ORDER_VERSIONS = Entity(
@@ -158,6 +162,23 @@ def partitioned_upsert(t: Tables):
     return t.spark.read.schema(stage.schema).parquet(table).select(*stage.columns)
 
 
+@query(f"""
+    select id, version, status, price, {_DAY.format('updated_at')} as updated_on
+    from {ORDER_VERSIONS.sql}
+    qualify row_number() over (partition by id order by updated_at desc, version desc) = 1
+""")
+def bucketed_merge(t: Tables):
+    """Old versions are stored in buckets; the versions of a later period are merged in."""
+    table, by = scratch_path(t.spark, "latest"), ["updated_at", "version"]
+    rows = ORDER_VERSIONS.frame(t)
+    old = latest_rows(rows.where("updated_at < timestamp_ntz '1999-01-01'"), ["id"], by)
+    write_partitions(with_bucket(old, ["id"], 8), table, BUCKET)
+    fresh = rows.where("updated_at >= timestamp_ntz '1998-06-01'")
+    merge_latest_buckets(t.spark, table, fresh, ["id"], by, 8)
+    stored = t.spark.read.schema(rows.schema).parquet(table)
+    return stored.selectExpr("id", "version", "status", "price", f"{_DAY.format('updated_at')} as updated_on")
+
+
 ORDER_TEXT = Entity(
     "orders",
     (

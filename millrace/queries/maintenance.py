@@ -216,7 +216,7 @@ def _bank_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     place = scratch_path(t.spark, "documents")
     (
         accounts.select("n_nationkey", F.to_json(envelope).alias("value"))
-        .write.option("maxRecordsPerFile", 200)
+        .write.option("maxRecordsPerFile", 1000)
         .partitionBy("n_nationkey")
         .text(place)
     )

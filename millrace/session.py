@@ -18,7 +18,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
 }
 
 

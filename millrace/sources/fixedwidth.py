@@ -14,6 +14,7 @@ from millrace.sources.layout import HEADER_PREFIX, TRAILER_PREFIX, Layout
 # From this many fields on, one expression per field costs more in planning and
 # code generation than slicing Arrow batches does.
 WIDE_FIELDS = 200
+LINES_AT_ONCE = 500
 
 
 def read_lines(spark: SparkSession, path: str, charset: str = "ISO-8859-1") -> DataFrame:
@@ -63,17 +64,22 @@ def _slice_batches(layout: Layout, mask: Sequence[str], escape: bool):
         for (name, width), start in zip(layout.fields, layout.starts)
     ]
 
+    def cut(lines: list[str]) -> pd.DataFrame:
+        columns = {}
+        for name, start, end in spans:
+            if name in mask:
+                columns[name] = [""] * len(lines)
+            else:
+                fields = [line[start:end].strip(WHITESPACE) for line in lines]
+                columns[name] = [f.replace(",", "\\,") for f in fields] if escape else fields
+        return pd.DataFrame(columns)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lines = batch["value"].tolist()
-            columns = {}
-            for name, start, end in spans:
-                if name in mask:
-                    columns[name] = [""] * len(lines)
-                else:
-                    cut = [line[start:end].strip(WHITESPACE) for line in lines]
-                    columns[name] = [c.replace(",", "\\,") for c in cut] if escape else cut
-            yield pd.DataFrame(columns)
+            # A thousand columns of a whole Arrow batch would be too many strings at once.
+            for first in range(0, len(lines), LINES_AT_ONCE):
+                yield cut(lines[first : first + LINES_AT_ONCE])
 
     return run
 

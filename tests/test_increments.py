@@ -92,6 +92,23 @@ def test_delete_insert_partitions_leaves_other_partitions(spark, rows, monkeypat
         assert got == [(1, "new", "d1"), (2, "b", "d1"), (3, "c", "d2"), (4, "new", "d3")]
 
 
+def test_merge_latest_buckets_touches_only_its_buckets(spark, rows):
+    from pathlib import Path
+
+    path, keys, by = scratch_path(spark, "buckets"), ["k"], ["t"]
+    schema = "k int, t int, v string"
+    old = _df(spark, [(k, 1, "old") for k in range(40)], schema)
+    upsert.write_partitions(upsert.with_bucket(old, keys, 8), path, upsert.BUCKET)
+    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    fresh = _df(spark, [(1, 2, "new"), (2, 0, "late"), (1, 1, "older")], schema)
+    for _ in range(2):
+        upsert.merge_latest_buckets(spark, path, fresh, keys, by, 8)
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {k: "new" if k == 1 else "old" for k in range(40)}
+    untouched = [p for p in before if p.exists()]
+    assert len(untouched) >= len(before) - 2
+
+
 def test_swap_does_not_trust_a_stale_side_table(spark, rows):
     schema = scratch_schema(spark, "swap")
     _df(spark, [(9, "stale")]).write.saveAsTable(f"{schema}.t__swap")
