@@ -290,7 +290,7 @@ def response_chain(t: Tables):
         "suffix",
         "applicant_guid",
         F.col("unique_number").cast("string").alias("unique_number"),
-        F.lit(dated).alias("dated_rows"),
+        F.lit(dated).cast("bigint").alias("dated_rows"),
     )
 
 
@@ -336,7 +336,7 @@ def commercial_response_load(t: Tables):
 
 
 @query("""
-    select strftime(o_orderdate, '%Y%m') as import_month, count(*) as n, sum(o_orderkey) as keys
+    select strftime(o_orderdate, '%Y%m') as import_month, count(*) as n, cast(sum(o_orderkey) as bigint) as keys
     from orders group by 1
 """)
 def dated_history(t: Tables):
@@ -488,7 +488,7 @@ def address_strings(t: Tables):
        "from documents")
 def transliterate_text(t: Tables):
     plain = transliterate_fr(F.col("text"))
-    return t.documents.select("doc_id", F.md5(plain).alias("plain_md5"), F.length(plain).alias("n"))
+    return t.documents.select("doc_id", F.md5(plain).alias("plain_md5"), F.length(plain).cast("bigint").alias("n"))
 
 
 @query("""

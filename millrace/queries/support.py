@@ -27,7 +27,10 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Kept, so that a query reads the schema of each table once.
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def query(check: str | None = None):
