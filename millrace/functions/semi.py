@@ -36,6 +36,17 @@ def base64_text(c: Column, url_safe: bool = False) -> Column:
     return base64_bytes(c, url_safe).cast("string")
 
 
+def elements(json_text: Column) -> Column:
+    """Array of VARIANT from JSON text that holds an array or a lone object.
+
+    Unreadable text gives null.
+    """
+    value = F.try_parse_json(json_text)
+    is_array = F.ltrim(json_text, F.lit(" \t\r\n")).startswith("[")
+    many = F.try_variant_get(value, "$", "array<variant>")
+    return F.when(is_array, many).otherwise(F.when(value.isNotNull(), F.array(value)))
+
+
 def one_or_many(json_text: Column, element_schema: str) -> Column:
-    """Array of elements from JSON text that holds an array or a lone object."""
+    """Like `elements`, with the elements as structs of a known schema."""
     return F.from_json(json_text, f"array<{element_schema}>")

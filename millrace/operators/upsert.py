@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,6 +47,16 @@ def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> D
     return kept.select(*target.columns).unionByName(stage)
 
 
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The Parquet table at `path`, empty before the first write."""
+    try:
+        return spark.read.schema(like.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], like.schema)
+
+
 def rewrite_partitions(
     spark: SparkSession, path: str, stage: DataFrame, partition: str, merge: Merge
 ) -> None:
@@ -55,7 +66,7 @@ def rewrite_partitions(
     folders that will be replaced; with more values than `MAX_LISTED_PARTITIONS`
     a semi-join picks the rows instead. A repeated run gives the same table.
     """
-    target = spark.read.schema(stage.schema).parquet(path)
+    target = _stored(spark, path, stage)
     touched = stage.select(partition).distinct()
     values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
     if len(values) <= MAX_LISTED_PARTITIONS:

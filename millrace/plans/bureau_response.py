@@ -6,10 +6,10 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.errors import INPUT_ERRORS, failure
 from millrace.functions.dates import pivot_date, previous_month, utc_now_text
 from millrace.operators.typed import TypedColumn, typed_select
 from millrace.sinks.tables import append_table, replace_table, with_leading, write_dated_copy
@@ -101,8 +101,8 @@ def load_commercial_responses(
             )
             append_table(typed_select(stamped, spec, strict=True), table)
             outcome[name] = "loaded"
-        except PySparkException as error:
-            outcome[name] = f"failed: {error.getCondition() or type(error).__name__}"
+        except INPUT_ERRORS as error:
+            outcome[name] = failure(error)
     return outcome
 
 

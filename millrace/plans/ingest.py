@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.semi import one_or_many, path
+from millrace.functions.semi import elements, path
 from millrace.functions.text import ruby_hash_to_json
 from millrace.operators.crypto import ENVELOPE, open_envelope
 from millrace.operators.incremental import not_in, not_yet_loaded
@@ -62,21 +62,23 @@ def open_documents(fetched: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def stored_bank_documents(
-    opened: DataFrame, element_schema: str, safe: bool = False, text: Column | None = None
-) -> DataFrame:
-    """One row per account element of each document; a lone object is one element."""
-    json_text = ruby_hash_to_json(text if text is not None else F.col("text"), safe)
+def stored_bank_documents(opened: DataFrame, safe: bool = False) -> DataFrame:
+    """One VARIANT row per account of each document; a lone object is one account.
+
+    A document that was not fetched or cannot be read gives no row, so the next
+    run finds it missing and tries again.
+    """
     return opened.select(
         "merchant_guid",
         F.col("last_modified_at").alias("batch_timestamp"),
         "file_path",
-        F.explode(one_or_many(json_text, element_schema)).alias("raw_response"),
+        F.explode(elements(ruby_hash_to_json(F.col("text"), safe))).alias("raw_response"),
     )
 
 
 def stored_reports(opened: DataFrame, batch_ts: Column) -> DataFrame:
-    return opened.select(
+    """Response rows of the reports that were opened; the others are tried again next run."""
+    return opened.where(F.col("text").isNotNull()).select(
         "lookup_key",
         F.col("text").alias("raw_response"),
         "last_modified_at",

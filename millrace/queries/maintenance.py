@@ -28,6 +28,7 @@ from millrace.streaming.ingest import (
     append_new_keys,
     arriving_files,
     merge_latest,
+    merge_latest_files,
     replay_safe_files,
     run_available,
     tumbling_totals as totals_of,
@@ -243,8 +244,11 @@ def document_ingest(t: Tables):
     fetched = fetch_documents(pending, "file_path")
     lines = fetched.withColumn("body", F.explode(F.split(F.col("body").cast("string"), "\n"))).where("body <> ''")
     opened = open_documents(lines, _key_table(t).select("wrapped_key", "data_key"))
-    rows = stored_bank_documents(opened, "struct<Id: bigint, Name: string, Note: string>")
-    return rows.select("merchant_guid", F.col("raw_response.Id").alias("account_id"), F.col("raw_response.Name").alias("name"))
+    return stored_bank_documents(opened).select(
+        "merchant_guid",
+        path("raw_response", "Id", "bigint").alias("account_id"),
+        path("raw_response", "Name").alias("name"),
+    )
 
 
 @query("""
@@ -314,6 +318,18 @@ def latest_by_stream(t: Tables):
     return t.spark.table(table).select("user_id", "event_id", "event_type")
 
 
+@query("""
+    select user_id, event_id, event_type from events
+    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
+""")
+def latest_by_stream_in_buckets(t: Tables):
+    table = scratch_path(t.spark, "latest")
+    stream = arriving_files(t.spark, _inbox(t), _EVENTS_SCHEMA, files_per_batch=3)
+    write = merge_latest_files(table, ["user_id"], ["ts", "event_id"], buckets=8)
+    run_available(stream, scratch_path(t.spark, "checkpoint"), write)
+    return t.spark.read.parquet(table).select("user_id", "event_id", "event_type")
+
+
 @query("""
     select strftime(date_trunc('day', ts), '%Y-%m-%d') as day, event_type, count(*) as events,
       cast(sum(cast(value as decimal(18,2))) as double) as total

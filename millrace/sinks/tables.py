@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.errors import INPUT_ERRORS, failure
 from millrace.functions.semi import as_variant
 
 # Tables that are never landed.
@@ -95,8 +95,8 @@ def land_tables(
                 report.append((name, "empty", 0))
                 continue
             replace_table(as_variant(df) if as_fields else df, target)
-        except PySparkException as error:
-            report.append((name, f"failed: {error.getCondition() or type(error).__name__}", None))
+        except INPUT_ERRORS as error:
+            report.append((name, failure(error), None))
             continue
         report.append((name, "loaded", spark.table(target).count()))
     return spark.createDataFrame(report, "table string, status string, rows long")

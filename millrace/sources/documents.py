@@ -12,13 +12,24 @@ from pyspark.sql import DataFrame
 FETCHED = "body binary, last_modified_at timestamp, fetch_error string"
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+def _open(path: str, systems: dict[str, fs.FileSystem]) -> tuple[fs.FileSystem, str]:
+    """File system and key of a path; one client per store, not per document."""
+    if "://" not in path:
+        path = f"file://{path.removeprefix('file:')}"
+    store = path.split("/", 3)[2]
+    if not store:
+        return systems.setdefault("local", fs.LocalFileSystem()), path.removeprefix("file://")
+    prefix = path[: path.index(store) + len(store)]
+    if prefix not in systems:
+        systems[prefix] = fs.FileSystem.from_uri(prefix + "/")[0]
+    return systems[prefix], path.split("://", 1)[1]
 
 
-def _fetch(path: str) -> tuple[bytes | None, datetime | None, str | None]:
+def _fetch(
+    path: str, systems: dict[str, fs.FileSystem]
+) -> tuple[bytes | None, datetime | None, str | None]:
     try:
-        system, key = _open(path)
+        system, key = _open(path, systems)
         modified = system.get_file_info(key).mtime
         with system.open_input_stream(key) as stream:
             body = stream.read()
@@ -40,11 +51,12 @@ def fetch_documents(keys: DataFrame, path_column: str, tasks: int = 0) -> DataFr
     columns = keys.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        systems: dict[str, fs.FileSystem] = {}
         for batch in batches:
             # A few documents at a time, so a batch never holds many bodies.
             for start in range(0, len(batch), 16):
                 part = batch.iloc[start : start + 16].reset_index(drop=True)
-                found = [_fetch(p) for p in part[path_column]]
+                found = [_fetch(p, systems) for p in part[path_column]]
                 part["body"] = [f[0] for f in found]
                 part["last_modified_at"] = pd.to_datetime([f[1] for f in found], utc=True)
                 part["fetch_error"] = [f[2] for f in found]

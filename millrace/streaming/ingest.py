@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.incremental import not_yet_loaded
-from millrace.operators.upsert import keep_latest, swap_table, union_all
+from millrace.operators.upsert import keep_latest, merge_latest_buckets, swap_table, union_all
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -84,6 +84,17 @@ def merge_latest(table: str, keys: Sequence[str], latest_by: Sequence[str]) -> B
     return write
 
 
+def merge_latest_files(
+    path: str, keys: Sequence[str], latest_by: Sequence[str], buckets: int
+) -> BatchWriter:
+    """Like `merge_latest`, into a table by key bucket: a batch rewrites its own buckets only."""
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        merge_latest_buckets(batch.sparkSession, path, batch, keys, latest_by, buckets)
+
+    return write
+
+
 def tumbling_totals(
     stream: DataFrame, time: str, keys: Sequence[str], value: str, width: str = "1 day", late: str = "1 hour"
 ) -> DataFrame:

@@ -3,9 +3,10 @@ import json
 import math
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.functions.semi import as_variant
+from millrace.functions.semi import as_variant, path
 from millrace.operators import crypto
 from millrace.plans import bureau_request, cashflow, ingest, journal
 from millrace.plans.decryption import DecryptionSpec, decrypt_increment, landed_rows
@@ -41,6 +42,13 @@ def test_decrypt_round_trip(spark):
     assert {r["id"]: (r["value"], r["note"]) for r in plain.collect()} == {1: ("é", None), 2: (None, "n")}
 
 
+def test_unknown_key_is_an_error(spark):
+    df = _sealed(spark, [(1, "2024-01-01", "k2", "x", None)])
+    only_first = _keys(spark).drop("name").limit(1)
+    with pytest.raises(PySparkException, match="no data key"):
+        crypto.decrypt_columns(df, ["value"], only_first.where("false"), "id").collect()
+
+
 def test_yaml_post_processing(spark):
     text = (
         "--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\n"
@@ -288,9 +296,11 @@ def test_fetch_reports_missing_documents(spark, tmp_path):
 
 
 def test_stored_documents_follow_the_plain_replace(spark, rows):
-    opened = spark.createDataFrame([("m", "f", '[{"a"=>"vanilla"}, {"a"=>nil}]'), ("m", "g", '{"a"=>"x"}')], "merchant_guid string, file_path string, text string")
+    data = [("m", "f", ' [{"a"=>"vanilla"}, {"a"=>nil}]'), ("m", "g", '{"a"=>"x"}'), ("m", "h", '[{"a"=>'), ("m", "i", None)]
+    opened = spark.createDataFrame(data, "merchant_guid string, file_path string, text string")
     opened = opened.withColumn("last_modified_at", F.lit(None).cast("timestamp"))
-    got = ingest.stored_bank_documents(opened, "struct<a: string>").select("file_path", "raw_response.a")
+    value = path("raw_response", "a").alias("a")
+    got = ingest.stored_bank_documents(opened).select("file_path", value)
     assert rows(got) == [("f", "vanullla"), ("f", None), ("g", "x")]
-    safe = ingest.stored_bank_documents(opened, "struct<a: string>", safe=True).select("raw_response.a")
+    safe = ingest.stored_bank_documents(opened, safe=True).select(value)
     assert rows(safe) == [("vanilla",), ("x",), (None,)]

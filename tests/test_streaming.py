@@ -53,6 +53,17 @@ def test_merge_latest(spark, rows):
     assert rows(spark.table(table)) == [(1, 3, "d"), (2, 5, "c")]
 
 
+def test_merge_latest_files(spark, rows):
+    folder, checkpoint, table = (scratch_path(spark, n) for n in ("in", "cp", "out"))
+    write = ingest.merge_latest_files(table, ["k"], ["t", "v"], 4)
+    _land(spark, folder, [(1, 1, "a"), (1, 2, "b"), (2, 5, "c")])
+    stream = ingest.arriving_files(spark, folder, SCHEMA)
+    ingest.run_available(stream, checkpoint, write)
+    _land(spark, folder, [(1, 3, "d"), (2, 4, "late"), (3, 1, "e")])
+    ingest.run_available(stream, checkpoint, write)
+    assert rows(spark.read.parquet(table).select("k", "t", "v")) == [(1, 3, "d"), (2, 5, "c"), (3, 1, "e")]
+
+
 def test_tumbling_totals_drop_late_rows(spark, rows):
     schema = "ts timestamp, kind string, value int"
     folder, checkpoint, target = (scratch_path(spark, n) for n in ("in", "cp", "out"))

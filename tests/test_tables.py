@@ -152,6 +152,17 @@ def test_land_tables(spark):
     assert {r["table"]: (r["status"], r["rows"]) for r in report.collect()} == {
         "kept": ("empty", 0), "full": ("loaded", 4), "versions": ("skipped", None), "bad": ("failed: PATH_NOT_FOUND", None),
     }
+    broken = scratch_path(spark, "broken")
+    spark.range(3).coalesce(1).write.parquet(broken)
+    from pathlib import Path
+
+    for part in Path(broken).glob("part-*"):
+        part.write_bytes(b"not parquet at all, but long enough to look like a file")
+    for crc in Path(broken).glob(".part-*"):
+        crc.write_bytes(b"")
+    again = {"broken": lambda: spark.read.schema("id long").parquet(broken), "fine": load(2)}
+    states = {r["table"]: r["status"] for r in tables.land_tables(spark, again, schema).collect()}
+    assert states["fine"] == "loaded" and states["broken"].startswith("failed")
     # An empty source leaves the old target.
     assert spark.table(f"{schema}.kept").count() == 3
     assert spark.table(f"{schema}.full").columns == ["fields"]
