@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from millrace.functions.address import ADDRESS_FIELDS, address_lines, clean_address, phone_text
 from millrace.functions.dates import birth_date_tag, days_since
 from millrace.functions.text import clean_name, to_string, zero_fill
+from millrace.operators.quality import is_valid, validate_lines
 from millrace.operators.ranges import with_row_id
-from millrace.sources.fixedwidth import render
+from millrace.sinks.requests import frame_lines, write_lines
+from millrace.sources.fixedwidth import read_lines, render
 from millrace.sources.layout import REQUEST_LAYOUT
 
 # The loan rule and the relationship kinds.
@@ -173,6 +175,20 @@ def consumer_lines(rows: DataFrame) -> DataFrame:
     return clean_address(rows).select("id", render(REQUEST_LAYOUT, consumer_fields()).alias("line"))
 
 
+def publish_request(rows: DataFrame, stamp: dt.datetime, draft: str, validated: str) -> DataFrame:
+    """Write the request file, check it as written, and hand it on when it has no fault.
+
+    Gives the faults; `validated` is only written when there are none.
+    """
+    spark = rows.sparkSession
+    write_lines(frame_lines(consumer_lines(rows), stamp), draft)
+    lines = read_lines(spark, draft, "windows-1252")
+    errors = validate_lines(lines)
+    if is_valid(errors):
+        write_lines(lines.select(F.col("pos").alias("id"), F.col("value").alias("line")), validated)
+    return errors
+
+
 def commercial_rows(rows: DataFrame) -> DataFrame:
     """The eight CSV columns of a commercial request; the fax is always empty."""
     return clean_address(rows).select(

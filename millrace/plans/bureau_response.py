@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.errors import INPUT_ERRORS, failure
 from millrace.functions.dates import pivot_date, previous_month, utc_now_text
 from millrace.operators.typed import TypedColumn, typed_select
-from millrace.sinks.tables import append_table, replace_table, with_leading, write_dated_copy
+from millrace.sinks.tables import append_table, replace_table_as, with_leading, write_dated_copy
 from millrace.sources.files import audited, read_csv
 from millrace.sources.fixedwidth import drop_markers, parse, read_lines
 from millrace.sources.layout import PERSONAL_END_OFFSETS, Layout
@@ -66,10 +66,10 @@ def load_consumer_response(
     Each step reads the table the step before wrote, so the text is sliced once.
     """
     month = previous_month(run_date.strftime("%Y%m%d"))
-    replace_table(raw_response(read_lines(spark, path), layout), targets.raw)
+    replace_table_as(raw_response(read_lines(spark, path), layout), targets.raw, layout.ddl())
     raw = spark.table(targets.raw)
     write_dated_copy(raw, targets.raw_history, month)
-    replace_table(staged_response(raw, date_columns, run_date), targets.staged)
+    replace_table_as(staged_response(raw, date_columns, run_date), targets.staged, layout.ddl(date_columns))
     staged = spark.table(targets.staged)
     write_dated_copy(staged, targets.staged_history, month)
     append_table(public_response(staged, month, import_ts or utc_now_text()), targets.public)

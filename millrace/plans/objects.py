@@ -36,6 +36,7 @@ def load_object(
     watermark = watermark_column(name, fields)
     for condition in filters:
         source = source.where(condition)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     outcome = {}
     for i, columns in enumerate(part_columns(fields, [key, watermark], parts, threshold)):
         table = f"{schema}.{name}___PART_{i}"

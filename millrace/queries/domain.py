@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.semi import path
 from millrace.functions.stats import t_quantile
 from millrace.operators.incremental import not_in
 from millrace.operators.ranges import in_order, running_total_before
+from millrace.plans.calls import CALL_TABLE, entries_of, new_calls
 from millrace.plans.cashflow import (
     closing_balances,
     daily_series,
@@ -17,12 +19,13 @@ from millrace.plans.cashflow import (
     opening_balances,
     period_balances,
 )
-from millrace.plans.journal import journal_entries as entries_of
+from millrace.plans.journal import journal_entries as entries_for
 from millrace.plans.journal import journal_lines as lines_of
 from millrace.plans.journal import tally
 from millrace.queries.support import Entity, Tables, query
 from millrace.plans.reports import load_report
 from millrace.session import scratch_path, scratch_schema
+from millrace.sinks.tables import append_table, ensure_table
 from millrace.sources.calls import RECORDINGS_SCHEMA, day_slices, explode_recordings, report_entries
 from millrace.sources.files import read_json
 from millrace.sources.reports import NAME_PREFIX, PAGE_SCHEMA, Report, flatten_report, next_page_token
@@ -129,6 +132,35 @@ def call_recordings(t: Tables):
     )
 
 
+@query("""
+    select call_id, role, recording from (
+      select 'c' || conv_id || '-' || turn as call_id, role, case when role <> 'system' then md5(text) end as recording
+      from conversations)
+""")
+def call_ingest(t: Tables):
+    """Two overlapping runs of day reports into a table with two VARIANT columns."""
+    table = f"{scratch_schema(t.spark, 'calls')}.calls"
+    ensure_table(t.spark, table, CALL_TABLE)
+    call_id = F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn")
+    entry = F.struct(call_id.alias("call_id"), "role")
+    turns = t.conversations.withColumns(
+        {
+            "call_id": call_id,
+            "report": F.to_json(F.struct(F.array(entry).alias("entries"))),
+            "body": F.to_json(F.struct(F.md5("text").alias("id"))),
+        }
+    )
+    recordings = turns.where("role <> 'system'").select("call_id", "body")
+    for reports in (turns.where("role <> 'assistant'"), turns):
+        entries = entries_of(reports, "report")
+        append_table(new_calls(entries, t.spark.table(table), recordings), table)
+    return t.spark.table(table).select(
+        path("call", "call_id").alias("call_id"),
+        path("call", "role").alias("role"),
+        path("recordings", "id").alias("recording"),
+    )
+
+
 @query("""
     select strftime(d.day, '%Y-%m-%d') as day, 2 * count(e.event_id) as new_calls
     from (select unnest(generate_series(date '2023-12-30', date '2024-01-20', interval 1 day)) as day) d
@@ -184,7 +216,7 @@ _GROUPS = f"""
     from groups
 """)
 def journal_entries(t: Tables):
-    entries = entries_of(LEDGER.frame(t), "2020-01-01")
+    entries = entries_for(LEDGER.frame(t), "2020-01-01")
     return entries.withColumn("transaction_at", F.date_format("transaction_at", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -200,7 +232,7 @@ def journal_entries(t: Tables):
 """)
 def journal_lines(t: Tables):
     ledger = LEDGER.frame(t)
-    lines = lines_of(ledger, entries_of(ledger, "2020-01-01"))
+    lines = lines_of(ledger, entries_for(ledger, "2020-01-01"))
     return lines.withColumns({c: F.col(c).cast("double") for c in ("credit", "debit")})
 
 
@@ -209,7 +241,7 @@ def journal_lines(t: Tables):
     select case when n = 1 then 'accepted' else 'rejected' end as status, count(*) as entries from groups group by 1
 """)
 def journal_tally(t: Tables):
-    return tally(entries_of(LEDGER.frame(t), "2020-01-01"))
+    return tally(entries_for(LEDGER.frame(t), "2020-01-01"))
 
 
 # Purchases and sign-ups bring money in, every other event takes some out.

@@ -370,7 +370,7 @@ _CONSUMER_SQL = f"""
     homes as (select l.party_id, a.* from {APPLICANT_LINKS.sql} l left join {ADDRESSES.sql} a
                 on l.address_id = a.address_id
               where party_type = 'Individuals::Applicant' and active = 't' and category = 'physical_address'),
-    final as (
+    lines as (
       select distinct p.applicant_guid, encrypted_date_of_birth, encrypted_first_name, encrypted_last_name,
         encrypted_middle_name, x.encrypted_value as encrypted_suffix, s.encrypted_value as encrypted_sin,
         f.encrypted_value as encrypted_file_number, {_ADDRESS_COLUMNS}
@@ -405,13 +405,13 @@ def _consumer_request(t: Tables) -> DataFrame:
           "city", "premise_number", "sub_premise_type", "thoroughfare", "rural_routes",
           "rural_additional_content", "country_alpha_3", "post_box_number", "post_box_type", "postal_code",
           "state_province", "sub_premise_number"))}) as id, *
-    from final
+    from lines
 """)
 def consumer_request_dataset(t: Tables):
     return _consumer_request(t)
 
 
-@query(f"{_CONSUMER_SQL} select count(*) as lines, count(distinct applicant_guid) as entities from final")
+@query(f"{_CONSUMER_SQL} select count(*) as lines, count(distinct applicant_guid) as entities from lines")
 def consumer_request_counts(t: Tables):
     return request_counts(_consumer_request(t), "applicant_guid")
 
@@ -425,7 +425,7 @@ _COMMERCIAL_SQL = f"""
     phones as (select l.party_id, a.* from {PHONE_LINKS.sql} l left join {PHONES.sql} a
                  on l.phone_number_id = a.phone_number_id
                where party_type = 'Entities::Merchant' and active = 't' and category = 'business_phone_number'),
-    final as (
+    lines as (
       select distinct m.merchant_guid, m.name, area_code, country_code, phone_number, {_ADDRESS_COLUMNS},
         f.encrypted_value as encrypted_file_number
       from {COMMERCIAL_MERCHANTS.sql} m
@@ -450,7 +450,7 @@ def _commercial_request(t: Tables) -> DataFrame:
     )
 
 
-@query(f"{_COMMERCIAL_SQL} select * from final")
+@query(f"{_COMMERCIAL_SQL} select * from lines")
 def commercial_request_dataset(t: Tables):
     # The ids follow the whole row; the check compares the rows behind them.
     return _commercial_request(t).drop("id")
@@ -460,7 +460,7 @@ def commercial_request_dataset(t: Tables):
     select reference_number, coalesce(name, '') as business_name, {SQL_ADDRESS_LINES} as address, city,
       state_province as province, postal_code, phone, '' as fax
     from (select merchant_guid as reference_number, name, {SQL_CLEAN_ADDRESS},
-            coalesce(area_code, '') || coalesce(phone_number, '') as phone from final)
+            coalesce(area_code, '') || coalesce(phone_number, '') as phone from lines)
 """)
 def commercial_request_csv(t: Tables):
     rows, place = commercial_rows(_commercial_request(t)), scratch_path(t.spark, "commercial")

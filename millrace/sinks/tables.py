@@ -21,6 +21,19 @@ def replace_table(df: DataFrame, table: str, compression: str | None = None) ->
     writer.saveAsTable(table)
 
 
+def replace_table_as(df: DataFrame, table: str, ddl: str) -> None:
+    """Replace a table by `df` under a given DDL, such as `Layout.ddl()`.
+
+    Text longer than its varchar fails the load, and the old table stays.
+    """
+    spark, side = df.sparkSession, f"{table}__swap"
+    spark.sql(f"DROP TABLE IF EXISTS {side}")
+    spark.sql(f"CREATE TABLE {side} ({ddl}) USING parquet")
+    df.select(*spark.table(side).columns).write.insertInto(side)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+
+
 def ensure_table(spark: SparkSession, table: str, ddl: str) -> bool:
     """Create schema and table when missing; tells whether the table was there."""
     if "." in table:

@@ -56,7 +56,7 @@ class Layout:
 
     def ddl(self, date_columns: Sequence[str] = ()) -> str:
         return ", ".join(
-            f"{name} date" if name in date_columns else f"{name} varchar({width})"
+            f"`{name}` date" if name in date_columns else f"`{name}` varchar({width})"
             for name, width in self.fields
         )
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import quality
-from millrace.plans.bureau_request import consumer_lines
+from millrace.plans.bureau_request import consumer_lines, publish_request
 from millrace.functions.address import ADDRESS_FIELDS
 from millrace.sinks.requests import frame_lines, write_lines
 from millrace.sources import fixedwidth
@@ -30,7 +30,7 @@ def test_layout():
     # The listed name is upper case, so the masked lower-case column stays text.
     assert isinstance(schema["dob_text"].dataType, T.VarcharType)
     layout = Layout.of([("a", 2), ("d", 6)])
-    assert layout.ddl(["d"]) == "a varchar(2), d date"
+    assert layout.ddl(["d"]) == "`a` varchar(2), `d` date"
     assert isinstance(layout.schema(["d"])["d"].dataType, T.DateType)
 
 
@@ -138,6 +138,18 @@ def test_request_file_round_trip(spark, tmp_path):
     assert back.where("sin = '000000000' and city = 'Montreal' and file_number = '42'").count() == n
 
 
+def test_only_a_valid_file_is_handed_on(spark, tmp_path):
+    rows = _applicants(spark, 20)
+    draft, validated = tmp_path / "draft", tmp_path / "validated"
+    assert publish_request(rows, STAMP, str(draft), str(validated)).isEmpty()
+    whole = lambda folder: b"".join(p.read_bytes() for p in sorted(folder.glob("part-*")))
+    assert whole(validated) == whole(draft)
+    bad = rows.withColumn("city", F.lit(" "))
+    errors = publish_request(bad, STAMP, str(tmp_path / "draft2"), str(tmp_path / "validated2"))
+    assert errors.groupBy("category").count().collect() == [("city", 20)]
+    assert not (tmp_path / "validated2").exists()
+
+
 def test_faults_of_a_file(spark, rows):
     good = "0" * 12 + "x" * 67 + " " * 9 + "122256" + "1 rue A".ljust(30) + "mtl".ljust(20) + "QC" + "h3h1h1" + " " * 18
     good += "app_1".ljust(50)

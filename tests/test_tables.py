@@ -212,6 +212,17 @@ def test_consumer_response_tables(spark):
     assert public.count() == 2 and spark.read.parquet(targets.raw_history).count() == 1
 
 
+def test_a_table_by_ddl_refuses_long_text(spark, rows):
+    table = f"{scratch_schema(spark, 'ddl')}.t"
+    ddl = RESPONSE_HEAD.of([("a", 2), ("d", 6)]).ddl(["d"])
+    good = spark.createDataFrame([("x", dt.date(2024, 1, 2))], "a string, d date")
+    tables.replace_table_as(good, table, ddl)
+    with pytest.raises(PySparkException):
+        tables.replace_table_as(good.withColumn("a", F.lit("long")), table, ddl)
+    assert rows(spark.table(table)) == [("x", dt.date(2024, 1, 2))]
+    assert dict(spark.table(table).dtypes)["d"] == "date"
+
+
 def test_commercial_files_fail_alone(spark):
     schema = scratch_schema(spark, "comm")
     spec = parse_spec("n | N | number(38,0)\nimport_month | import_month | varchar(6)")
