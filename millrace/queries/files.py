@@ -16,6 +16,7 @@ from millrace.functions.text import (
     to_string,
     transliterate_fr,
 )
+from millrace.operators.crypto import decrypt_columns
 from millrace.operators.quality import table_checks as checks_of, validate_lines
 from millrace.operators.typed import DETAIL_SPEC
 from millrace.plans.bureau_request import (
@@ -48,7 +49,9 @@ from millrace.queries.support import (
     SQL_CLEAN_ADDRESS,
     Entity,
     Tables,
+    key_table,
     query,
+    sealed_columns,
     sql_clean,
     sql_transliterate,
     union_frame,
@@ -383,10 +386,12 @@ _CONSUMER_SQL = f"""
 """
 
 
-def _consumer_request(t: Tables) -> DataFrame:
+def _consumer_request(
+    t: Tables, applicants: DataFrame | None = None, attributes: DataFrame | None = None
+) -> DataFrame:
     return consumer_request(
-        APPLICANTS.frame(t),
-        union_frame(t, *ATTRIBUTES),
+        APPLICANTS.frame(t) if applicants is None else applicants,
+        union_frame(t, *ATTRIBUTES) if attributes is None else attributes,
         APPLICANT_LINKS.frame(t),
         ADDRESSES.frame(t),
         LOANS.frame(t),
@@ -411,6 +416,27 @@ def consumer_request_dataset(t: Tables):
     return _consumer_request(t)
 
 
+@query(f"""{_CONSUMER_SQL}
+    select applicant_guid, substr(line, 13) as line from (
+      select applicant_guid, {_REQUEST_LINE} as line from (
+        select *, {SQL_ADDRESS_LINES} as lines from (
+          select 0 as id, applicant_guid, encrypted_last_name as last_name, encrypted_first_name as first_name,
+            encrypted_middle_name as middle_name, encrypted_suffix as suffix, encrypted_sin as sin,
+            encrypted_date_of_birth as date_of_birth, encrypted_file_number as file_number, {SQL_CLEAN_ADDRESS}
+          from lines)))
+""")
+def consumer_request_chain(t: Tables):
+    """Encrypted applicants to request lines (without the id, whose order follows the ciphertext)."""
+    personal = ["first_name", "last_name", "middle_name", "date_of_birth"]
+    applicants = sealed_columns(t, APPLICANTS.frame(t), "applicant_id", [f"encrypted_{c}" for c in personal])
+    attributes = sealed_columns(t, union_frame(t, *ATTRIBUTES), "applicant_id", ["encrypted_value"])
+    rows = _consumer_request(t, applicants, attributes)
+    keys = key_table(t).select("wrapped_key", "data_key")
+    plain = decrypt_columns(rows, [*personal, "suffix", "sin", "file_number"], keys, "id")
+    guid = F.trim(F.substring("line", REQUEST_LAYOUT.starts[14] + 1, 25)).alias("applicant_guid")
+    return consumer_lines(plain).select(guid, F.substring("line", 13, 208).alias("line"))
+
+
 @query(f"{_CONSUMER_SQL} select count(*) as lines, count(distinct applicant_guid) as entities from lines")
 def consumer_request_counts(t: Tables):
     return request_counts(_consumer_request(t), "applicant_guid")

@@ -20,7 +20,7 @@ from millrace.plans.ingest import (
     stored_reports,
 )
 from millrace.plans.objects import load_object
-from millrace.queries.support import Tables, query
+from millrace.queries.support import Tables, key_table, query
 from millrace.session import scratch_path, scratch_schema
 from millrace.sinks.tables import append_table, ensure_table, land_tables as land_of
 from millrace.sources.documents import fetch_documents
@@ -35,18 +35,9 @@ from millrace.streaming.ingest import (
 )
 
 
-def _key_table(t: Tables) -> DataFrame:
-    """One data key per nation, known by the wrapped form that envelopes carry."""
-    name = F.col("n_nationkey").cast("string")
-    wrapped = F.base64(F.encode(F.concat(F.lit("wrapped-"), name), "UTF-8"))
-    return t.nation.select(
-        "n_nationkey", wrapped.alias("wrapped_key"), F.unhex(F.md5(F.concat(F.lit("key-"), name))).alias("data_key")
-    )
-
-
 def _sealed_customers(t: Tables) -> DataFrame:
     """Customers with encrypted name and segment; a nonce per row and column."""
-    keys = _key_table(t)
+    keys = key_table(t)
     rows = t.customer.join(keys, F.col("c_nationkey") == F.col("n_nationkey"))
 
     def sealed(column: str):
@@ -68,7 +59,7 @@ def _sealed_customers(t: Tables) -> DataFrame:
       case when c_acctbal >= 0 then c_mktsegment end as segment from customer
 """)
 def decrypt_columns(t: Tables):
-    keys = _key_table(t).select("wrapped_key", "data_key")
+    keys = key_table(t).select("wrapped_key", "data_key")
     plain = decrypt_of(
         _sealed_customers(t), ["name", "segment"], keys, "id", post={"segment": text_or_null}
     )
@@ -82,7 +73,7 @@ def decrypt_columns(t: Tables):
 """)
 def decrypt_yaml(t: Tables):
     """Encrypted YAML objects as JSON text."""
-    rows = t.customer.join(_key_table(t), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = t.customer.join(key_table(t), F.col("c_nationkey") == F.col("n_nationkey"))
     profile = F.concat(
         F.lit("--- !ruby/hash:ActiveSupport::HashWithIndifferentAccess\nsegment: "),
         "c_mktsegment",
@@ -96,7 +87,7 @@ def decrypt_yaml(t: Tables):
         F.col("c_custkey").alias("id"),
         seal(plain, F.unbase64("wrapped_key"), F.col("data_key"), nonce).alias("encrypted_profile"),
     )
-    keys = _key_table(t).select("wrapped_key", "data_key")
+    keys = key_table(t).select("wrapped_key", "data_key")
     return decrypt_of(sealed, ["profile"], keys, "id", post=postprocessors_for(["profile"], "yaml"))
 
 
@@ -108,7 +99,7 @@ def decrypt_yaml(t: Tables):
 def decrypt_increment_merge(t: Tables):
     """First load of early rows, then an increment over all of them."""
     spec = DecryptionSpec("core", "customers", ("name",), None, ("BUILDING", "MACHINERY", "FURNITURE"))
-    keys = _key_table(t).select("wrapped_key", "data_key")
+    keys = key_table(t).select("wrapped_key", "data_key")
     place = scratch_path(t.spark, "sealed")
     as_variant(_sealed_customers(t).drop("encrypted_segment")).write.parquet(place)
     landed, schema = t.spark.read.parquet(place), scratch_schema(t.spark, "pii")
@@ -202,7 +193,7 @@ def _bank_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
 
     Each file holds a bounded number of sealed customer accounts, one envelope a line.
     """
-    accounts = t.customer.join(_key_table(t), F.col("c_nationkey") == F.col("n_nationkey"))
+    accounts = t.customer.join(key_table(t), F.col("c_nationkey") == F.col("n_nationkey"))
     body = F.concat(
         F.lit('{"Id"=>'), "c_custkey", F.lit(', "Note"=>nil, "Name"=>"'), "c_name", F.lit('"}')
     )
@@ -243,7 +234,7 @@ def document_ingest(t: Tables):
     pending = pending_documents(documents, owners, stored, "bank")
     fetched = fetch_documents(pending, "file_path")
     lines = fetched.withColumn("body", F.explode(F.split(F.col("body").cast("string"), "\n"))).where("body <> ''")
-    opened = open_documents(lines, _key_table(t).select("wrapped_key", "data_key"))
+    opened = open_documents(lines, key_table(t).select("wrapped_key", "data_key"))
     return stored_bank_documents(opened).select(
         "merchant_guid",
         path("raw_response", "Id", "bigint").alias("account_id"),

@@ -10,7 +10,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.operators.crypto import seal
 from millrace.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +202,28 @@ COMMERCIAL_MERCHANTS = Entity(
 )
 
 
+def key_table(t: Tables) -> DataFrame:
+    """One data key per nation, known by the wrapped form that envelopes carry."""
+    name = F.col("n_nationkey").cast("string")
+    wrapped = F.base64(F.encode(F.concat(F.lit("wrapped-"), name), "UTF-8"))
+    return t.nation.select(
+        "n_nationkey", wrapped.alias("wrapped_key"), F.unhex(F.md5(F.concat(F.lit("key-"), name))).alias("data_key")
+    )
+
+
+def sealed_columns(t: Tables, df: DataFrame, owner: str, columns: list[str]) -> DataFrame:
+    """Replace text columns by their envelopes, under the key of one of the nations."""
+    keys = key_table(t)
+    nation = F.pmod(F.col(owner), F.lit(25)).cast("int")
+    df = df.withColumn("n_nationkey", nation).join(keys, "n_nationkey")
+
+    def sealed(name: str):
+        nonce = F.substring(F.unhex(F.md5(F.concat_ws(":", F.lit(name), owner, name))), 1, 12)
+        return seal(F.col(name), F.unbase64("wrapped_key"), F.col("data_key"), nonce)
+
+    return df.withColumns({c: sealed(c) for c in columns}).drop(*keys.columns)
+
+
 # SQL forms of shared expressions, for the checks only.
 def sql_transliterate(c: str) -> str:
     return (

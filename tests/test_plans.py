@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.semi import as_variant, path
 from millrace.operators import crypto
+from millrace.operators.batches import transform_batches
 from millrace.plans import bureau_request, cashflow, ingest, journal
 from millrace.plans.decryption import DecryptionSpec, decrypt_increment, landed_rows
 from millrace.sources import calls, reports
@@ -42,6 +43,12 @@ def test_decrypt_round_trip(spark):
     assert {r["id"]: (r["value"], r["note"]) for r in plain.collect()} == {1: ("é", None), 2: (None, "n")}
 
 
+def test_transform_batches(spark, rows):
+    df = spark.range(10)
+    got = transform_batches(df, lambda pdf: pdf.assign(double=pdf["id"] * 2), "id long, double long")
+    assert rows(got) == sorted([(i, 2 * i) for i in range(10)], key=repr)
+
+
 def test_unknown_key_is_an_error(spark):
     df = _sealed(spark, [(1, "2024-01-01", "k2", "x", None)])
     only_first = _keys(spark).drop("name").limit(1)
