@@ -19,6 +19,9 @@ from millrace.session import materialize
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
+_FIRST, _LAST = -1, 1 << 62  # positions of the extra rows
+
+
 def _range_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -47,35 +50,38 @@ def in_order(
 def running_total_before(
     ordered: DataFrame, keys: Sequence[str], value: Column, name: str
 ) -> DataFrame:
-    """Sum of `value` over the earlier rows of the key; the first row has zero."""
-    keys = list(keys)
+    """Sum of `value` over the earlier rows of the key; the first row has zero.
+
+    What earlier ranges add up to enters each range as one extra first row, so
+    the totals need no join back to the rows.
+    """
     before = W.unboundedPreceding, -1
     totals = ordered.groupBy(*keys, "chunk").agg(F.sum(value).alias("_total"))
     carried = F.sum("_total").over(W.partitionBy(*keys).orderBy("chunk").rowsBetween(*before))
-    carry = totals.select(*keys, "chunk", carried.alias("_carry"))
-    inside = F.sum(value).over(W.partitionBy(*keys, "chunk").orderBy("pos").rowsBetween(*before))
-    zero = F.lit(0)
-    return (
-        ordered.withColumn("_inside", inside)
-        .join(carry, [*keys, "chunk"], "left")
-        .withColumn(name, F.coalesce("_carry", zero) + F.coalesce("_inside", zero))
-        .drop("_inside", "_carry")
-    )
+    carry = totals.select(*keys, "chunk", F.lit(_FIRST).cast("long").alias("pos"), carried.alias("_value"))
+    rows = ordered.withColumn("_value", value).unionByName(carry, allowMissingColumns=True)
+    total = F.sum("_value").over(_inside(keys).rowsBetween(*before))
+    return _without_borders(rows.withColumn(name, F.coalesce(total, F.lit(0)))).drop("_value")
 
 
 def next_in_order(ordered: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
-    """`column` of the following row of the key; null on the last row."""
-    keys = list(keys)
+    """`column` of the following row of the key; null on the last row.
+
+    The first value of the next range enters each range as one extra last row.
+    """
     firsts = ordered.groupBy(*keys, "chunk").agg(F.min_by(column, "pos").alias("_first"))
     following = F.lead("_first").over(W.partitionBy(*keys).orderBy("chunk"))
-    border = firsts.select(*keys, "chunk", following.alias("_next_first"))
-    inside = F.lead(column).over(W.partitionBy(*keys, "chunk").orderBy("pos"))
-    return (
-        ordered.withColumn("_inside", inside)
-        .join(border, [*keys, "chunk"], "left")
-        .withColumn(name, F.coalesce("_inside", "_next_first"))
-        .drop("_inside", "_next_first")
-    )
+    border = firsts.select(*keys, "chunk", F.lit(_LAST).cast("long").alias("pos"), following.alias("_value"))
+    rows = ordered.withColumn("_value", F.col(column)).unionByName(border, allowMissingColumns=True)
+    return _without_borders(rows.withColumn(name, F.lead("_value").over(_inside(keys)))).drop("_value")
+
+
+def _inside(keys: Sequence[str]):
+    return W.partitionBy(*keys, "chunk").orderBy("pos")
+
+
+def _without_borders(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("pos").between(_FIRST + 1, _LAST - 1))
 
 
 def with_row_id(

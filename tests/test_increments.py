@@ -142,18 +142,22 @@ def _hot_series(n=4000):
     generator = random.Random(7)
     out = []
     for i in range(n):
-        key = 1 if generator.random() < 0.5 else generator.randrange(2, 40)
+        key = generator.choice([1, 1, 1, None, generator.randrange(2, 40)])
         out.append((key, generator.randrange(0, n), i, generator.randrange(-50, 50)))
     return out
 
 
+def _in_series_order(data):
+    return sorted(data, key=lambda r: (r[0] or 0, r[1], r[2]))
+
+
 def test_running_total_of_a_hot_key(spark, rows):
     data = _hot_series()
     df = spark.createDataFrame(data, "k int, t int, id int, v int").repartition(5)
     ordered = ranges.in_order(df, ["k"], ["t", "id"], ranges=8)
     got = ranges.running_total_before(ordered, ["k"], F.col("v"), "before").select("k", "id", "before")
     expected, totals = [], {}
-    for k, _, i, v in sorted(data):
+    for k, _, i, v in _in_series_order(data):
         expected.append((k, i, totals.get(k, 0)))
         totals[k] = totals.get(k, 0) + v
     assert rows(got) == sorted(expected, key=repr)
@@ -168,7 +172,7 @@ def test_next_value_across_ranges(spark, rows):
     ordered = ranges.in_order(df, ["k"], ["t", "id"], ranges=6)
     got = ranges.next_in_order(ordered, ["k"], "id", "next").select("k", "id", "next")
     series = {}
-    for k, _, i, _ in sorted(data):
+    for k, _, i, _ in _in_series_order(data):
         series.setdefault(k, []).append(i)
     expected = [(k, i, after) for k, ids in series.items() for i, after in zip(ids, [*ids[1:], None])]
     assert rows(got) == sorted(expected, key=repr)
