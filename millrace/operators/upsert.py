@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import join_unique
 from millrace.operators.ranges import in_order, next_in_order
 from millrace.session import materialize
-from millrace.sinks.tables import write_partitions
+from millrace.sinks.tables import swap_in, write_partitions
 
 # A partitioned table of daily folders reaches this after 27 years.
 MAX_LISTED_PARTITIONS = 10_000
@@ -112,16 +112,8 @@ def merge_latest_buckets(
 
 
 def swap_table(df: DataFrame, table: str) -> None:
-    """Replace `table` by `df`, which may read it: write aside, drop, rename.
-
-    The side table is always rewritten; one left by a failed run is not trusted.
-    """
-    spark = df.sparkSession
-    side = f"{table}__swap"
-    spark.sql(f"DROP TABLE IF EXISTS {side}")
-    df.write.mode("overwrite").saveAsTable(side)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+    """Replace `table` by `df`, which may read it: write aside, then exchange the names."""
+    swap_in(df.sparkSession, table, df.write.mode("overwrite").saveAsTable)
 
 
 def replicate_tables(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> list[str]:

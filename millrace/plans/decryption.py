@@ -11,6 +11,7 @@ from millrace.functions.semi import path
 from millrace.operators.crypto import decrypt_columns, postprocessors_for
 from millrace.operators.incremental import not_in
 from millrace.operators.upsert import keep_latest, swap_table, union_all
+from millrace.sinks.tables import restore_table
 
 LATEST_BY = ("updated_at", "_hash")
 
@@ -69,7 +70,7 @@ def refresh_decrypted(
     """Bring the decrypted table of one landed table up to date; gives its name."""
     spark = landed.sparkSession
     table = f"{target_schema}.{spec.target}"
-    existing = spark.table(table) if spark.catalog.tableExists(table) else None
+    existing = spark.table(table) if restore_table(spark, table) else None
     merged = decrypt_increment(landed_rows(landed, spec), existing, spec, keys)
     swap_table(merged, table)
     return table

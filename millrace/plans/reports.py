@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from millrace.operators.upsert import delete_insert, swap_table
-from millrace.sinks.tables import replace_table
+from millrace.sinks.tables import replace_table, restore_table
 from millrace.sources.reports import Report, flatten_report
 
 
@@ -17,7 +17,7 @@ def load_report(pages: DataFrame, report: Report, table: str, run_date: str, imp
     """
     spark = pages.sparkSession
     stage = flatten_report(pages, report.columns, run_date, import_ts)
-    if spark.catalog.tableExists(table):
+    if restore_table(spark, table):
         swap_table(delete_insert(spark.table(table), stage, report.keys), table)
     else:
         replace_table(stage, table)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import previous_month
 from millrace.functions.address import address_lines, clean_address, full_address, phone_text
 from millrace.functions.text import (
-    encode_bytes,
     record_id_18,
     ruby_hash_to_json,
     to_string,
@@ -30,7 +29,6 @@ from millrace.plans.bureau_response import (
     ResponseTargets,
     load_commercial_responses,
     load_consumer_response,
-    public_response,
     raw_response,
 )
 from millrace.queries.support import (

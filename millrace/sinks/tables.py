@@ -21,17 +21,47 @@ def replace_table(df: DataFrame, table: str, compression: str | None = None) ->
     writer.saveAsTable(table)
 
 
+def restore_table(spark: SparkSession, table: str) -> bool:
+    """Undo a swap that was cut short; tells whether the table exists."""
+    retired = f"{table}__old"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {retired}")
+        return True
+    if spark.catalog.tableExists(retired):
+        spark.sql(f"ALTER TABLE {retired} RENAME TO {table}")
+        return True
+    return False
+
+
+def swap_in(spark: SparkSession, table: str, write_side: Callable[[str], None]) -> None:
+    """Write `<table>__swap` and put it in the place of `table`.
+
+    A side table left by a failed run is not trusted. The old table is only
+    dropped when the new one has its name; if the driver dies in between,
+    `restore_table` brings the old one back.
+    """
+    side, retired = f"{table}__swap", f"{table}__old"
+    existed = restore_table(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {side}")
+    write_side(side)
+    if existed:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
+    spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {retired}")
+
+
 def replace_table_as(df: DataFrame, table: str, ddl: str) -> None:
     """Replace a table by `df` under a given DDL, such as `Layout.ddl()`.
 
     Text longer than its varchar fails the load, and the old table stays.
     """
-    spark, side = df.sparkSession, f"{table}__swap"
-    spark.sql(f"DROP TABLE IF EXISTS {side}")
-    spark.sql(f"CREATE TABLE {side} ({ddl}) USING parquet")
-    df.select(*spark.table(side).columns).write.insertInto(side)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+    spark = df.sparkSession
+
+    def write_side(side: str) -> None:
+        spark.sql(f"CREATE TABLE {side} ({ddl}) USING parquet")
+        df.select(*spark.table(side).columns).write.insertInto(side)
+
+    swap_in(spark, table, write_side)
 
 
 def ensure_table(spark: SparkSession, table: str, ddl: str) -> bool:

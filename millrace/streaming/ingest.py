@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.incremental import not_yet_loaded
 from millrace.operators.upsert import keep_latest, merge_latest_buckets, swap_table, union_all
+from millrace.sinks.tables import restore_table
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -77,7 +78,7 @@ def merge_latest(table: str, keys: Sequence[str], latest_by: Sequence[str]) -> B
     def write(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = keep_latest(batch, keys, latest_by)
-        if spark.catalog.tableExists(table):
+        if restore_table(spark, table):
             fresh = keep_latest(union_all(fresh, spark.table(table)), keys, latest_by)
         swap_table(fresh, table)
 

@@ -53,6 +53,18 @@ def test_merge_latest(spark, rows):
     assert rows(spark.table(table)) == [(1, 3, "d"), (2, 5, "c")]
 
 
+def test_merge_after_a_swap_that_was_cut_short(spark, rows):
+    table = f"{scratch_schema(spark, 'cut')}.t"
+    write = ingest.merge_latest(table, ["k"], ["t"])
+    write(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], SCHEMA), 0)
+    # The driver died after the old table had given up its name.
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    spark.range(1).write.saveAsTable(f"{table}__swap")
+    write(spark.createDataFrame([(1, 2, "c")], SCHEMA), 1)
+    assert rows(spark.table(table)) == [(1, 2, "c"), (2, 1, "b")]
+    assert not spark.catalog.tableExists(f"{table}__old")
+
+
 def test_merge_latest_files(spark, rows):
     folder, checkpoint, table = (scratch_path(spark, n) for n in ("in", "cp", "out"))
     write = ingest.merge_latest_files(table, ["k"], ["t", "v"], 4)
