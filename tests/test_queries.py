@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry
+from millrace.queries import registry
 from tools.check import TABLES, rows_of
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -23,11 +24,11 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, str(FOLDER))
+    df = registry.QUERIES[name](spark, str(FOLDER))
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    result = db.execute(entry.oracle_sql()[name])
+    result = db.execute(registry.CHECKS[name])
     want = rows_of([d[0] for d in result.description], result.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
@@ -38,4 +39,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.CHECKS) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(entry.queries())
