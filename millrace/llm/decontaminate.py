@@ -58,36 +58,34 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
     return rows.groupBy("length", "hash", "content").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
+def _found(words: Column, length: int, windows: list) -> Column:
+    """The verified windows of one length in a text, by begin."""
+    size = 8 * len(windows)
+    buckets: list[list] = [[] for _ in range(size)]
+    for w in windows:
+        buckets[w["hash"] % size].append({"h": w["hash"], "c": w["content"], "i": w["items"]})
+    # A constant expression: Spark evaluates it once, when it plans.
+    held = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<h:bigint,c:string,i:array<string>>>>")
+
+    def entries(begin: Column) -> Column:
+        return F.get(held, F.pmod(F.xxhash64(_window(words, begin, length)), F.lit(size)).cast("int"))
+
+    def same(entry: Column, begin: Column) -> Column:
+        own = _window(words, begin, length)
+        return (entry["h"] == F.xxhash64(own)) & (entry["c"] == F.array_join(own, " "))
+
+    def hit(begin: Column) -> Column:
+        entry = F.get(F.filter(entries(begin), lambda e: same(e, begin)), F.lit(0))
+        return F.struct(begin.alias("begin"), (begin + length).alias("stop"), entry["i"].alias("items"))
+
+    begins = F.filter(_begins(words, length), lambda begin: F.exists(entries(begin), lambda e: same(e, begin)))
+    return F.transform(begins, lambda begin: hit(begin))
+
+
 def _scan(words: Column, windows: list) -> Column:
     """The verified windows of a text, by begin, looked up in a table that is part of the expression."""
-    found = []
-    for length in sorted({w["length"] for w in windows}):
-        own = [w for w in windows if w["length"] == length]
-        size = 8 * len(own)
-        buckets: list[list] = [[] for _ in range(size)]
-        for w in own:
-            buckets[w["hash"] % size].append({"h": w["hash"], "c": w["content"], "i": w["items"]})
-        # A constant expression: Spark evaluates it once, when it plans.
-        held = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<h:bigint,c:string,i:array<string>>>>")
-
-        def entries(begin: Column, length=length, held=held, size=size) -> Column:
-            return F.get(held, F.pmod(F.xxhash64(_window(words, begin, length)), F.lit(size)).cast("int"))
-
-        def same(entry: Column, begin: Column, length=length) -> Column:
-            own_words = _window(words, begin, length)
-            return (entry["h"] == F.xxhash64(own_words)) & (entry["c"] == F.array_join(own_words, " "))
-
-        hit = F.filter(_begins(words, length), lambda b: F.exists(entries(b), lambda e: same(e, b)))
-        found.append(
-            F.transform(
-                hit,
-                lambda b, length=length: F.struct(
-                    b.alias("begin"),
-                    (b + length).alias("stop"),
-                    F.get(F.filter(entries(b), lambda e: same(e, b)), F.lit(0))["i"].alias("items"),
-                ),
-            )
-        )
+    lengths = sorted({w["length"] for w in windows})
+    found = [_found(words, length, [w for w in windows if w["length"] == length]) for length in lengths]
     if not found:
         return F.array().cast(_HITS)
     return F.array_sort(F.concat(*found)) if len(found) > 1 else found[0]

@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,15 +93,16 @@ def _present(text: str) -> np.ndarray:
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """(lang, grams) of the texts with the smallest hash, at most `per_language` different ones of each language."""
+    spark = labelled.sparkSession
     rows = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
-    first = W.partitionBy("lang").orderBy("h")
-    chosen = (
-        rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
-        .withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= per_language)
-        .select("lang", "h")
-    )
-    hashes = sorted({r["h"] for r in chosen.collect()})
+    # Hashes are even, so the smallest ones of a language lie below a cut that follows from its number of texts.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    span = {r["lang"]: min(1.0, (2 * per_language + 100) / max(1, r["n"])) for r in sizes}
+    if not span:
+        return spark.createDataFrame([], "lang string, h long, grams binary")
+    cuts = [(F.col("lang") == lang) & (F.col("h") <= int(part * 2**64) - 2**63 - 1) for lang, part in span.items()]
+    low = rows.where(reduce(or_, cuts)).select("lang", "h").distinct().collect()
+    hashes = [h for lang in span for h in sorted(r["h"] for r in low if r["lang"] == lang)[:per_language]]
     texts = rows.where(F.col("h").isin(hashes)).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def present(batches):
