@@ -214,8 +214,8 @@ def _mapped(df: DataFrame, text: str, codec: Codec, fields: list[T.StructField],
     return rows.mapInArrow(run, schema)
 
 
-_IDS = T.ArrayType(T.LongType(), False)
-_ARROW = {_IDS: pa.list_(pa.field("element", pa.int64(), False)), T.LongType(): pa.int64(), T.StringType(): pa.string()}
+_IDS = T.ArrayType(T.IntegerType(), False)
+_ARROW = {_IDS: pa.list_(pa.field("element", pa.int32(), False)), T.LongType(): pa.int64(), T.StringType(): pa.string()}
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -225,7 +225,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
     `token_ids` in `df` is replaced.
     """
     fields = [T.StructField("token_ids", _IDS)]
-    return _mapped(df, text, load_codec(path), fields, lambda _, ids: (np.frombuffer(ids, "<u4").astype(np.int64),), keep)
+    return _mapped(df, text, load_codec(path), fields, lambda _, ids: (np.frombuffer(ids, "<u4").astype(np.int32),), keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:

@@ -1,9 +1,9 @@
 """The corpus queries: importing the modules fills the registry."""
 
-from millrace.llm import bpe, decontaminate, jaccard, language
+from millrace.llm import bpe, decontaminate, jaccard, language, pii
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
-for _module in (language, jaccard, decontaminate, bpe):
+for _module in (language, jaccard, decontaminate, bpe, pii):
     QUERIES.update(_module.QUERIES)
     CHECKS.update(_module.CHECKS)
