@@ -1,9 +1,9 @@
 """The corpus queries: importing the modules fills the registry."""
 
-from millrace.llm import bpe, decontaminate, jaccard, language, pii, shards, urls
+from millrace.llm import bpe, decontaminate, jaccard, language, pii, shards, topk, urls, warc
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
-for _module in (language, jaccard, decontaminate, bpe, pii, shards, urls):
+for _module in (language, jaccard, decontaminate, bpe, pii, shards, urls, topk, warc):
     QUERIES.update(_module.QUERIES)
     CHECKS.update(_module.CHECKS)
