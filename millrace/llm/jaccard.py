@@ -8,8 +8,9 @@ follow on both sides (position filter). Every order here puts tokens first that
    nothing, and a set where these leave fewer than ceil(s n) tokens has no partner. Only the other sets go on.
 2. Rounds of leaders: under the first order, each set is compared with the leader of the token block that it meets
    most often. Found links form components, so a large group of near copies needs no pair inside it.
-3. Candidates are pairs of different components that pass prefix and position filter under all of the orders;
-   only these are verified. The orders differ in how finely they rank by frequency and in their hash.
+3. The first step is repeated with components in place of sets: tokens that occur in one component only cannot
+   link it to another. Candidates are pairs of different components that pass prefix, position and bitmap filter under
+   all of the orders; only these are verified. The orders differ in how finely they rank by frequency and in their hash.
 
 No link between different components is lost, so the components are exact. Tokens are 64-bit hashes, compared by
 their partition and 40 more bits.
@@ -32,6 +33,8 @@ WORDS = 5
 SHARED, OF = 75, 100
 ORDERS = 3
 LEADER_ROUNDS = 2
+DRAWS = 6
+BITS = 512
 _CHUNK = 1 << 19
 _TOKEN_BYTES = 5
 _U = np.uint64
@@ -118,110 +121,182 @@ def classes_of(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
     )
 
 
-def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Rows of bytes; `offsets` has one more entry than there are rows."""
-    return pa.Array.from_buffers(
-        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
-    )
+# A class in a packed row: its name, its number of shingles, and how many of the row's tokens are its own.
+_OWNER = np.dtype([("hi", "<i8"), ("lo", "<i8"), ("n", "<i4"), ("count", "<i4")])
+_PACKED = "part int, owners binary, tokens binary"
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows begin that differ from the one before."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = False
+    for c in columns:
+        fresh[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _packed_rows(part: np.ndarray, owner: np.ndarray, names: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
+    """One row per part, from tokens that are sorted by part and owner. `names` has an _OWNER for each owner."""
+    begin = _runs(part, owner)
+    owners = names[owner[begin]]
+    owners["count"] = np.diff(np.append(begin, len(part)))
+    cut = np.append(_runs(part[begin]), len(begin)) if len(begin) else np.zeros(1, np.int64)
+    edge = np.append(begin, len(part))
+    rows = list(zip(cut[:-1], cut[1:], strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part[begin[a]] for a, _ in rows], pa.int32()),
+         pa.array([owners[a:b].tobytes() for a, b in rows], pa.binary()),
+         pa.array([tokens[edge[a] : edge[b]].tobytes() for a, b in rows], pa.binary())],
+        ["part", "owners", "tokens"],
+    )
+
+
+def _unpacked(held: list[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of packed rows: the part of each owner, the owners, and the tokens as bytes of `width`."""
+    parts, owners, tokens = [], [], []
+    for batch in held:
+        for part, own, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            owners.append(np.frombuffer(own, _OWNER))
+            parts.append(np.full(len(owners[-1]), part, np.int64))
+            tokens.append(np.frombuffer(raw, np.uint8))
+    return np.concatenate(parts), np.concatenate(owners), np.concatenate(tokens).reshape(-1, width)
+
+
+def _token_keys(data: np.ndarray, part: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(data), 8), np.uint8)
+    wide[:, :_TOKEN_BYTES] = data[:, :_TOKEN_BYTES]
+    return wide.view("<u8").ravel() | (part.astype(_U) << _U(8 * _TOKEN_BYTES))
 
 
 def _dealt(df: DataFrame, text: str, words: int, parts: int) -> DataFrame:
-    """The tokens of each class and part in one row. A task emits a class once, so copies are mostly dropped here."""
+    """The tokens of a chunk of texts, one row per part. A task deals a class once, so copies are mostly dropped here."""
 
     def run(batches):
         met = set()
         for batch in batches:
             for _, texts in text_chunks(batch.column(0), _CHUNK):
                 sets, stop = shingle_sets(texts, words)
+                names = np.zeros(len(texts), _OWNER)
                 name = _names(sets, stop)
-                size = np.diff(stop, prepend=0)
+                names["hi"], names["lo"], names["n"] = name[:, 0], name[:, 1], np.diff(stop, prepend=0)
                 new = np.zeros(len(texts), bool)
                 for i, pair in enumerate(map(tuple, name.tolist())):
-                    if size[i] and pair not in met:
+                    if names["n"][i] and pair not in met:
                         met.add(pair)
                         new[i] = True
-                owner = np.repeat(np.arange(len(texts)), size)
-                kept = new[owner]
-                sets, owner = sets[kept], owner[kept]
-                if not len(sets):
-                    continue
-                part = ((sets >> _U(40)) * _U(parts)) >> _U(24)
-                row = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1]))))
-                low = sets.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
-                of = owner[row]
-                columns = [pa.array(part[row].astype(np.int32)), pa.array(name[of, 0]), pa.array(name[of, 1]),
-                           pa.array(size[of].astype(np.int32)),
-                           _binary(low, np.append(row, len(sets)) * _TOKEN_BYTES)]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "hi", "lo", "n", "tokens"])
-
-    return df.select(F.col(text).alias("text")).mapInArrow(run, "part int, hi long, lo long, n int, tokens binary")
-
-
-def _counted(batches):
-    """Of all rows of a part: the tokens that occur in several classes, each with its frequency class.
+                owner = np.repeat(np.arange(len(texts)), names["n"])
+                sets, owner = sets[new[owner]], owner[new[owner]]
+                if len(sets):
+                    part = (((sets >> _U(40)) * _U(parts)) >> _U(24)).astype(np.int32)
+                    order = np.argsort(part, kind="stable")
+                    low = sets[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
+                    yield _packed_rows(part[order], owner[order], names, low)
+
+    return df.select(F.col(text).alias("text")).mapInArrow(run, _PACKED)
+
+
+def _counted(buckets: int, by_component: bool):
+    """Of all rows of a part: the tokens that occur in several sets, or in several components, by bucket of sets.
 
     A packed token is its 5 bytes and one byte that grows with the logarithm of its frequency.
     """
-    held = list(batches)
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        part, owners, data = _unpacked(held, _TOKEN_BYTES)
+        del held
+        order = np.lexsort((owners["lo"], owners["hi"], part))
+        copy = np.ones(len(order), bool)
+        copy[order[_runs(part[order], owners["hi"][order], owners["lo"][order])]] = False
+        of = np.repeat(np.arange(len(owners)), owners["count"])
+        if copy.any():
+            data, of = data[~copy[of]], of[~copy[of]]
+        token = _token_keys(data, part[of])
+        order = np.lexsort((owners["lo"][of], token)) if by_component else np.argsort(token)
+        border = np.append(_runs(token[order]), len(order))
+        # How often each token occurs: rows of its run, or the components that begin in it.
+        times = np.diff(border)
+        if by_component:
+            begins = np.zeros(len(order) + 1, np.int64)
+            begins[_runs(token[order], owners["lo"][of][order]) + 1] = 1
+            times = np.diff(np.cumsum(begins)[border])
+        frequency = np.empty(len(token), np.int64)
+        frequency[order] = np.repeat(times, np.diff(border))
+        shared = frequency > 1
+        data, of, frequency = data[shared], of[shared], frequency[shared]
+        packed = np.empty((len(data), _TOKEN_BYTES + 1), np.uint8)
+        packed[:, :_TOKEN_BYTES] = data
+        packed[:, _TOKEN_BYTES] = np.minimum(255, 8 * np.log2(np.maximum(frequency, 1)))
+        bucket = (owners["hi"].astype(_U) % _U(buckets)).astype(np.int32)
+        for own in np.unique(part[of]):
+            chosen = np.flatnonzero(part[of] == own)
+            chosen = chosen[np.argsort(bucket[of[chosen]], kind="stable")]
+            rows = _packed_rows(bucket[of[chosen]], of[chosen], owners, packed[chosen])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array(np.full(rows.num_rows, own, np.int32)), *rows.columns[1:]],
+                ["bucket", "part", "owners", "tokens"],
+            )
+
+    return run
+
+
+def _joined(batches):
+    """One row per set of the bucket that can have a partner: its shared tokens, sorted, and their frequency classes."""
+    held = [b.select(["part", "owners", "tokens"]) for b in batches if b.num_rows]
     if not held:
         return
-    rows = pa.Table.from_batches(held).combine_chunks()
-    if not rows.num_rows:
-        return
-    part, hi, lo, n = (rows.column(i).to_numpy() for i in range(4))
-    order = np.lexsort((lo, hi, part))
-    again = np.zeros(len(order), bool)
-    again[1:] = (np.diff(part[order]) == 0) & (np.diff(hi[order]) == 0) & (np.diff(lo[order]) == 0)
-    copy = np.zeros(len(order), bool)
-    copy[order[again]] = True
-
-    column = rows.column(4).chunk(0) if rows.column(4).num_chunks else rows.column(4)
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, _TOKEN_BYTES)
-    of = np.repeat(np.arange(len(part)), np.diff(offsets) // _TOKEN_BYTES)
-    if copy.any():
-        kept = ~copy[of]
-        data, of = data[kept], of[kept]
-    wide = np.zeros((len(data), 8), np.uint8)
-    wide[:, :_TOKEN_BYTES] = data
-    token = wide.view("<u8").ravel() | (part[of].astype(_U) << _U(8 * _TOKEN_BYTES))
-    del held, wide
-    order = np.argsort(token)
-    ordered = token[order]
-    border = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
-    frequency = np.empty(len(token), np.int64)
-    frequency[order] = np.repeat(np.diff(border), np.diff(border))
-    shared = frequency > 1
-    data, of, frequency = data[shared], of[shared], frequency[shared]
-    packed = np.empty((len(data), _TOKEN_BYTES + 1), np.uint8)
-    packed[:, :_TOKEN_BYTES] = data
-    packed[:, _TOKEN_BYTES] = np.minimum(255, 8 * np.log2(np.maximum(frequency, 1)))
-    row = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
-    step = 20_000
-    for a in range(0, len(row), step):
-        cut = np.append(row[a : a + step], row[a + step] if a + step < len(row) else len(of))
-        at = of[cut[:-1]]
-        columns = [pa.array(part[at]), pa.array(hi[at]), pa.array(lo[at]), pa.array(n[at]),
-                   _binary(packed[cut[0] : cut[-1]], (cut - cut[0]) * (_TOKEN_BYTES + 1))]
-        yield pa.RecordBatch.from_arrays(columns, ["part", "hi", "lo", "n", "tokens"])
+    part, owners, data = _unpacked(held, _TOKEN_BYTES + 1)
+    del held
+    of = np.repeat(np.arange(len(owners)), owners["count"])
+    token = _token_keys(data, part[of])
+    order = np.lexsort((owners["lo"], owners["hi"]))
+    begin = _runs(owners["hi"][order], owners["lo"][order])
+    number = np.empty(len(owners), np.int64)
+    number[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    names = owners[order[begin]]
+    shared = np.bincount(number[of], minlength=len(names))
+    order = np.lexsort((token, number[of]))
+    token, kind = token[order], data[order, _TOKEN_BYTES]
+    edge = np.concatenate(([0], np.cumsum(shared)))
+    able = np.flatnonzero(shared * OF >= names["n"].astype(np.int64) * SHARED)
+    for a in range(0, len(able), 500):
+        own = able[a : a + 500]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names["hi"][own]), pa.array(names["lo"][own]), pa.array(names["n"][own]),
+             pa.array([token[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary()),
+             pa.array([kind[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary())],
+            ["hi", "lo", "n", "tokens", "classes"],
+        )
+
+
+def _able(dealt: DataFrame, parts: int, by_component: bool) -> DataFrame:
+    """The sets (hi, lo, n, tokens, classes) with enough tokens in common with other sets, or other components."""
+    dealt = dealt.repartitionById(parts, F.col("part"))
+    shared = dealt.mapInArrow(_counted(parts, by_component), f"bucket int, {_PACKED}")
+    shared = shared.repartitionById(parts, F.col("bucket"))
+    return shared.mapInArrow(_joined, "hi long, lo long, n int, tokens binary, classes binary")
+
+
+def _dealt_again(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The tokens of sets, dealt as at first; a set is named by its id and component."""
 
+    def run(batches):
+        for batch in batches:
+            raw = [np.frombuffer(t, "<u8") for t in batch.column(3).to_pylist()]
+            names = np.zeros(len(raw), _OWNER)
+            for i, field in enumerate(("hi", "lo", "n")):
+                names[field] = batch.column(i).to_numpy()
+            owner = np.repeat(np.arange(len(raw)), [len(t) for t in raw])
+            token = np.concatenate(raw) if raw else np.zeros(0, _U)
+            part = (token >> _U(8 * _TOKEN_BYTES)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            low = token[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
+            if len(token):
+                yield _packed_rows(part[order], owner[order], names, low)
 
-def _joined(batches):
-    """One row per set that can have a partner: its shared tokens, sorted, and their frequency classes."""
-    for batch in batches:
-        tokens, classes = [], []
-        for parts in batch.column(3).to_pylist():
-            parts.sort(key=lambda p: p["part"])
-            data = np.frombuffer(b"".join(p["tokens"] for p in parts), np.uint8).reshape(-1, _TOKEN_BYTES + 1)
-            part = np.repeat([p["part"] for p in parts], [len(p["tokens"]) // (_TOKEN_BYTES + 1) for p in parts])
-            wide = np.zeros((len(data), 8), np.uint8)
-            wide[:, :_TOKEN_BYTES] = data[:, :_TOKEN_BYTES]
-            token = wide.view("<u8").ravel() | (part.astype(_U) << _U(8 * _TOKEN_BYTES))
-            order = np.argsort(token)
-            tokens.append(token[order].tobytes())
-            classes.append(data[order, _TOKEN_BYTES].tobytes())
-        columns = [*batch.columns[:3], pa.array(tokens, pa.binary()), pa.array(classes, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["hi", "lo", "n", "tokens", "classes"])
+    return _labelled(sets.select("id", "n", "tokens"), labels).select("id", "comp", "n", "tokens").mapInArrow(run, _PACKED)
 
 
 def _prefixes(batches):
@@ -246,6 +321,11 @@ def _prefixes(batches):
             yield pa.RecordBatch.from_arrays(columns, ["k", "token", "id", "n", "pos"])
 
 
+def _prefix_rows(sets: DataFrame) -> DataFrame:
+    rows = sets.select("id", "n", "tokens", "classes").mapInArrow(_prefixes, "k byte, token long, id long, n int, pos int")
+    return materialize(rows, "prefixes")
+
+
 def _enough(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
     """Position filter: tokens left after a shared one suffice for the overlap that the similarity asks for."""
     left = F.least(n_a - pos_a, n_b - pos_b) + 1
@@ -302,32 +382,58 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return join_unique(rows, labels, ["id"], "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
-def _leader_pairs(rows: DataFrame) -> DataFrame:
-    """For each set, the leader of other components that it meets in most blocks of the first order."""
+def _leader_pairs(rows: DataFrame, step: int) -> DataFrame:
+    """For each set and draw, the leader of another component that it meets in most blocks of the first order.
+
+    A block's leaders are drawn by hashes, anew in each step, so they mostly are in the block's largest component.
+    """
     rows = rows.where(F.col("k") == 0).select("token", "id", "n", "pos", "comp")
-    blocks = rows.groupBy("token").agg(F.min(F.struct("comp", "id", "n", "pos")).alias("lead"), F.max("comp").alias("last"))
-    blocks = blocks.where(F.col("lead.comp") < F.col("last")).drop("last")
-    met = join_unique(rows, blocks, ["token"], "inner").where(
-        (F.col("comp") != F.col("lead.comp")) & _enough(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"))
+    draws = [F.min(F.struct(F.xxhash64(F.lit(step * DRAWS + d), "id").alias("h"), "comp", "id", "n", "pos")) for d in range(DRAWS)]
+    blocks = rows.groupBy("token").agg(F.array(*draws).alias("leads"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    blocks = blocks.where(F.col("low") < F.col("high")).select("token", "leads")
+    met = join_unique(rows, blocks, ["token"], "inner")
+    near = F.filter(
+        F.transform("leads", lambda lead, draw: F.struct(draw.alias("draw"), lead.alias("lead"))),
+        lambda x: (x["lead"]["comp"] != F.col("comp")) & _enough(F.col("n"), F.col("pos"), x["lead"]["n"], x["lead"]["pos"]),
     )
-    votes = met.groupBy("id", F.col("lead.id").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("id").agg(F.max(F.struct("votes", -F.col("leader"))).alias("best"))
-    return best.select(F.col("id").alias("a"), (-F.col("best.col2")).alias("b"))
+    met = met.select("id", F.explode(near).alias("x")).select("id", "x.draw", F.col("x.lead.id").alias("leader"))
+    votes = met.groupBy("id", "draw", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("id", "draw").agg(F.max(F.struct("votes", F.xxhash64("leader"), "leader")).alias("best"))
+    return best.select(F.col("id").alias("a"), F.col("best.leader").alias("b")).distinct()
+
+
+def _bitmaps(batches):
+    """Per set: how many tokens it lists, and the parity of how many of them hash to each of `BITS` bits."""
+    for batch in batches:
+        raw = [np.frombuffer(t, "<u8") for t in batch.column(1).to_pylist()]
+        size = np.array([len(t) for t in raw])
+        bit = (mix64(np.concatenate(raw)) % _U(BITS)).astype(np.int64) if raw else np.zeros(0, np.int64)
+        odd = np.bincount(np.repeat(np.arange(len(raw)), size) * BITS + bit, minlength=len(raw) * BITS) & 1
+        words = np.packbits(odd.astype(np.uint8)).view("<i8").reshape(len(raw), BITS // 64)
+        columns = [batch.column(0), pa.array(size.astype(np.int32)), *(pa.array(words[:, i]) for i in range(BITS // 64))]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "listed", *(f"w{i}" for i in range(BITS // 64))])
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that pass the filters under every order."""
+def _candidates(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components that pass the filters under every order.
+
+    Bits that differ between the bitmaps of two sets are at most as many as tokens that only one of them has, so they
+    bound the overlap; pairs below what the similarity asks for are no candidates under any order.
+    """
     live = rows.groupBy("k", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     live = live.where(F.col("low") < F.col("high")).select("k", "token")
-    rows = materialize(join_unique(rows, live, ["k", "token"], "inner"), "blocks")
+    rows = join_unique(rows, live, ["k", "token"], "inner")
+    words = [f"w{i}" for i in range(BITS // 64)]
+    schema = ", ".join(["id long", "listed int", *(f"{w} long" for w in words)])
+    bitmaps = sets.select("id", "tokens").mapInArrow(_bitmaps, schema)
+    rows = materialize(join_unique(rows, bitmaps, ["id"], "inner"), "blocks")
     a, b = rows.alias("a"), rows.alias("b")
     other = (F.col("a.k") == F.col("b.k")) & (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id"))
-    met = a.join(
-        b,
-        other
-        & (F.col("a.comp") != F.col("b.comp"))
-        & _enough(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos")),
-    )
+    differ = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words), F.lit(0))
+    size = F.col("a.n") + F.col("b.n")
+    overlap = (F.col("a.listed") + F.col("b.listed") - differ) * (SHARED + OF) >= size * (2 * SHARED)
+    near = _enough(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+    met = a.join(b, other & (F.col("a.comp") != F.col("b.comp")) & near & overlap)
     passed = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(
         F.bit_or(F.expr("shiftleft(1, int(a.k))")).alias("orders")
     )
@@ -343,27 +449,22 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     spark = df.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 20)
     base = materialize(classes_of(df, key, text, words), "classes")
-    shared = _dealt(df, text, words, parts).repartitionById(parts, F.col("part")).mapInArrow(
-        _counted, "part int, hi long, lo long, n int, tokens binary"
-    )
-    size = F.sum(F.octet_length("tokens") / (_TOKEN_BYTES + 1))
-    sets = shared.groupBy("hi", "lo").agg(
-        F.max("n").alias("n"), F.collect_list(F.struct("part", "tokens")).alias("parts"), size.alias("shared")
-    )
-    sets = sets.where(F.col("shared") * OF >= F.col("n") * SHARED).select("hi", "lo", "n", "parts")
-    sets = sets.mapInArrow(_joined, "hi long, lo long, n int, tokens binary, classes binary")
+    sets = _able(_dealt(df, text, words, parts), parts, by_component=False)
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
-    prefixes = sets.select("id", "n", "tokens", "classes").mapInArrow(_prefixes, "k byte, token long, id long, n int, pos int")
-    prefixes = materialize(prefixes, "prefixes")
-
+    prefixes = _prefix_rows(sets)
     links, labels = None, None
-    for step in range(LEADER_ROUNDS + 1):
-        rows = _labelled(prefixes, labels)
-        pairs = _leader_pairs(rows) if step < LEADER_ROUNDS else _candidates(rows)
+    for step in range(LEADER_ROUNDS):
+        pairs = _leader_pairs(_labelled(prefixes, labels), step)
         found = materialize(_verified(pairs, sets), "links")
         links = found if links is None else links.union(found)
         labels = components(links)
 
+    # Tokens of one component cannot link it to another one: they count as those of a single set did.
+    rest = _able(_dealt_again(sets, labels), parts, by_component=True)
+    rest = materialize(rest.select(F.col("hi").alias("id"), "n", "tokens", "classes"), "sets")
+    pairs = _candidates(_labelled(_prefix_rows(rest), labels), rest)
+    labels = components(links.union(materialize(_verified(pairs, rest), "links")))
+
     smallest = base.groupBy("hi", "lo").agg(F.min("key").alias("first"))
     groups = labels.join(sets.select("id", "hi", "lo"), "id").join(smallest, ["hi", "lo"])
     group = groups.groupBy("comp").agg(F.min("first").alias("component"))
