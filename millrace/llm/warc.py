@@ -120,6 +120,8 @@ def _http_end(stream, most: int) -> tuple[int, int | None]:
     used, length = 0, None
     while used < most:
         line = stream.readline(most - used)
+        if not line:
+            raise EOFError("a WARC record ends too early")
         used += len(line)
         if line in (b"\r\n", b"\n"):
             break
@@ -307,7 +309,11 @@ def register(spark: SparkSession) -> SparkSession:
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Records below `path`. Payloads are only decoded if `columns` has `payload` (all columns, if not given)."""
+    """Records below `path`. Payloads are only decoded if `columns` has `payload` (all columns, if not given).
+
+    Call it anew for each set of predicates: Spark 4.1 keeps those it has pushed down with the loaded relation, and a
+    second query on the same DataFrame without predicates of its own would be read with the first one's.
+    """
     fields = [f for f in SCHEMA.fields if columns is None or f.name in columns]
     return register(spark).read.format("warc").schema(T.StructType(fields)).load(path)
 
