@@ -29,25 +29,10 @@ def _two_sided_mass(t: float, dof: int) -> float:
     return (2 / math.pi) * (theta + sin * total) if odd else sin * total
 
 
-def _tail_expansion(z: float, dof: float) -> float:
-    """Quantile for many degrees of freedom from the normal one
-    (Abramowitz and Stegun 26.7.5)."""
-    z2 = z * z
-    g1 = z * (z2 + 1) / 4
-    g2 = z * ((5 * z2 + 16) * z2 + 3) / 96
-    g3 = z * (((3 * z2 + 19) * z2 + 17) * z2 - 15) / 384
-    g4 = z * ((((79 * z2 + 776) * z2 + 1482) * z2 - 1920) * z2 - 945) / 92160
-    return z + g1 / dof + g2 / dof**2 + g3 / dof**3 + g4 / dof**4
-
-
 def t_quantile(dof: int, confidence: float = 0.95) -> float:
     """Two-sided quantile: P(|T| < result) = confidence."""
     if dof < 1:
         return math.nan
-    if dof > 2000:
-        from statistics import NormalDist
-
-        return _tail_expansion(NormalDist().inv_cdf((1 + confidence) / 2), dof)
     low, high = 0.0, 2.0
     while _two_sided_mass(high, dof) < confidence:
         low, high = high, high * 2

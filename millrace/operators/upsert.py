@@ -15,9 +15,6 @@ from millrace.operators.ranges import in_order, next_in_order
 from millrace.session import materialize
 from millrace.sinks.tables import swap_in, write_partitions
 
-# A partitioned table of daily folders reaches this after 27 years.
-MAX_LISTED_PARTITIONS = 10_000
-
 BUCKET = "key_bucket"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -63,16 +60,15 @@ def rewrite_partitions(
     """Merge `stage` into a partitioned Parquet table, rewriting touched partitions only.
 
     The staged partition values become literals, so the scan lists only the
-    folders that will be replaced; with more values than `MAX_LISTED_PARTITIONS`
-    a semi-join picks the rows instead. A repeated run gives the same table.
+    folders that will be replaced, the one of null among them; the driver sees
+    one value per folder, as the write does. The stage is evaluated once. A
+    repeated run gives the same table.
     """
+    stage = materialize(stage, "stage")
     target = _stored(spark, path, stage)
-    touched = stage.select(partition).distinct()
-    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        target = target.where(F.col(partition).isin([v for v in values if v is not None]))
-    else:
-        target = join_unique(target, touched, [partition], "left_semi")
+    values = [r[0] for r in stage.select(partition).distinct().collect()]
+    replaced = F.col(partition).isin([v for v in values if v is not None])
+    target = target.where(replaced | F.col(partition).isNull() if None in values else replaced)
     # A table cannot be read and overwritten at once: write aside first.
     write_partitions(materialize(merge(target, stage), "partitions"), path, partition)
 

@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.errors import INPUT_ERRORS, failure
-from millrace.functions.dates import pivot_date, previous_month, utc_now_text
+from millrace.functions.dates import load_time, month_before, pivot_date
 from millrace.operators.typed import TypedColumn, typed_select
 from millrace.sinks.tables import append_table, replace_table_as, with_leading, write_dated_copy
-from millrace.sources.files import audited, read_csv
+from millrace.sources.files import audited, read_csv_by_name
 from millrace.sources.fixedwidth import drop_markers, parse, read_lines
 from millrace.sources.layout import PERSONAL_END_OFFSETS, Layout
 
@@ -29,7 +29,7 @@ def staged_response(raw: DataFrame, date_columns: Sequence[str], as_of: dt.date)
     return raw.withColumns({c: pivot_date(F.col(c), as_of) for c in present})
 
 
-def public_response(staged: DataFrame, import_month: str, import_ts: str) -> DataFrame:
+def public_response(staged: DataFrame, import_month: str, import_ts: Column | str) -> DataFrame:
     empty = F.lit(None).cast("string")
     return with_leading(
         staged,
@@ -38,7 +38,7 @@ def public_response(staged: DataFrame, import_month: str, import_ts: str) -> Dat
             "accountid": empty,
             "contractid": empty,
             "business_name": empty,
-            "import_ts": F.lit(import_ts),
+            "import_ts": F.lit(import_ts) if isinstance(import_ts, str) else import_ts,
         },
     )
 
@@ -65,14 +65,14 @@ def load_consumer_response(
 
     Each step reads the table the step before wrote, so the text is sliced once.
     """
-    month = previous_month(run_date.strftime("%Y%m%d"))
+    month = month_before(run_date)
     replace_table_as(raw_response(read_lines(spark, path), layout), targets.raw, layout.ddl())
     raw = spark.table(targets.raw)
     write_dated_copy(raw, targets.raw_history, month)
     replace_table_as(staged_response(raw, date_columns, run_date), targets.staged, layout.ddl(date_columns))
     staged = spark.table(targets.staged)
     write_dated_copy(staged, targets.staged_history, month)
-    append_table(public_response(staged, month, import_ts or utc_now_text()), targets.public)
+    append_table(public_response(staged, month, load_time(import_ts)), targets.public)
 
 
 def load_commercial_responses(
@@ -80,16 +80,20 @@ def load_commercial_responses(
     files: Mapping[str, tuple[str, list[TypedColumn], str]],
     run_date: dt.date,
     import_ts: str | None = None,
+    newlines_in_values: bool = False,
 ) -> dict[str, str]:
     """Load each `{file name: (path, spec, table)}`; tells what happened per file.
 
-    A file that cannot be read or cast fails alone; nothing stale is loaded for it.
+    Columns are found by the names in a file's header, in any order. A file that
+    cannot be read or cast, lacks a column, or has a line with more or fewer
+    cells than its header fails alone; nothing is loaded for it. Ask for
+    `newlines_in_values` if cells hold line breaks.
     """
-    month = previous_month(run_date.strftime("%Y%m%d"))
+    month = month_before(run_date)
     outcome = {}
     for name, (path, spec, table) in files.items():
         try:
-            rows = read_csv(spark, path, schema=_text_schema(spec))
+            rows = read_csv_by_name(spark, path, _source_columns(spec), newlines_in_values)
             if rows.isEmpty():
                 outcome[name] = "empty"
                 continue
@@ -97,7 +101,7 @@ def load_commercial_responses(
                 rows,
                 imported_file_name=name,
                 import_month=month,
-                import_ts=import_ts or utc_now_text(),
+                import_ts=load_time(import_ts),
             )
             append_table(typed_select(stamped, spec, strict=True), table)
             outcome[name] = "loaded"
@@ -109,6 +113,5 @@ def load_commercial_responses(
 _AUDIT = ("imported_file_name", "import_month", "import_ts")
 
 
-def _text_schema(spec: list[TypedColumn]) -> str:
-    sources = dict.fromkeys(c.source for c in spec if c.source and c.source not in _AUDIT)
-    return ", ".join(f"`{s}` string" for s in sources)
+def _source_columns(spec: list[TypedColumn]) -> list[str]:
+    return list(dict.fromkeys(c.source for c in spec if c.source and c.source not in _AUDIT))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.semi import elements, path
 from millrace.functions.text import ruby_hash_to_json
-from millrace.operators.crypto import ENVELOPE, open_envelope
+from millrace.operators.crypto import ENVELOPE, envelope_error, open_envelope
 from millrace.operators.incremental import not_in, not_yet_loaded
+from millrace.operators.joins import join_unique
 
 # Document and report kinds that are ingested.
 BANK_DOCUMENT = "flinks_raw_response"
@@ -47,21 +48,36 @@ def pending_reports(reports: DataFrame, stored: DataFrame, kinds: Sequence[str]
 
 
 def open_documents(fetched: DataFrame, keys: DataFrame) -> DataFrame:
-    """Add `text`: the plain text of each fetched envelope (URL-safe base64 inside).
+    """Add `text`, the plain text of each fetched envelope (URL-safe base64 inside), and `open_error`.
 
-    A document that was not fetched keeps a null text and its error.
+    A document that was not fetched keeps a null text and its fetch error; one
+    that cannot be opened has a null text and the reason in `open_error`.
     """
     envelope = F.from_json(F.col("body").cast("string"), ENVELOPE)
     key_of = keys.select(F.col("wrapped_key").alias("_wrapped"), F.col("data_key").alias("_data_key"))
+    # Documents without a key do not meet in one task.
+    no_key = F.concat(F.lit("none:"), F.xxhash64(*fetched.drop("body").columns).cast("string"))
+    error = envelope_error(F.col("_envelope"), F.col("_data_key"), F.col("text"))
     return (
-        fetched.withColumn("_envelope", envelope)
-        .withColumn("_wrapped", F.translate("_envelope.key", "-_", "+/"))
-        .join(key_of, "_wrapped", "left")
+        join_unique(
+            fetched.withColumn("_envelope", envelope).withColumn(
+                "_wrapped", F.coalesce(F.translate("_envelope.key", "-_", "+/"), no_key)
+            ),
+            key_of,
+            ["_wrapped"],
+            "left",
+        )
         .withColumn("text", open_envelope(F.col("_envelope"), F.col("_data_key"), url_safe=True))
+        .withColumn("open_error", F.when(F.col("body").isNotNull(), error))
         .drop("_envelope", "_wrapped", "_data_key", "body")
     )
 
 
+def rejected_documents(opened: DataFrame) -> DataFrame:
+    """The documents that were fetched but could not be opened, and why; the next run tries them again."""
+    return opened.where(F.col("open_error").isNotNull()).drop("text")
+
+
 def stored_bank_documents(opened: DataFrame, safe: bool = False) -> DataFrame:
     """One VARIANT row per account of each document; a lone object is one account.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import previous_month
+from millrace.functions.dates import month_before
 from millrace.functions.address import address_lines, clean_address, full_address, phone_text
 from millrace.functions.text import (
     record_id_18,
@@ -96,7 +96,7 @@ def audit_columns(t: Tables):
     named = t.supplier.select("s_suppkey", source_file().alias("imported_file_name"))
     return audited(
         named,
-        import_month=previous_month(RUN_DATE.strftime("%Y%m%d")),
+        import_month=month_before(RUN_DATE),
         accountid=F.lit(None).cast("string"),
         import_ts="2021-09-02 10:00:00.000",
     )
@@ -585,10 +585,10 @@ def table_checks(t: Tables):
     )
 
 
-@query("select 'comm' as target union all select 'tcap'")
+@query("select 'comm' as target union all select 'cons'")
 def file_discovery(t: Tables):
     place = scratch_path(t.spark, "inbox")
     for name in ("risk", "dv"):
         t.customer.write.parquet(f"{place}/{name}")
     files = list_files(t.spark, f"{place}/*", "part-").withColumn("name", F.col("path"))
-    return route_files(files, "/risk/", "comm", "tcap").select("target").distinct()
+    return route_files(files, "/risk/", "comm", "cons").select("target").distinct()

@@ -75,12 +75,27 @@ def ensure_table(spark: SparkSession, table: str, ddl: str) -> bool:
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Append by column name, creating the table on first use."""
+    """Append by column name, creating the table on first use.
+
+    A column that the table does not have yet is added to it, null in the rows already stored; one that `df` does
+    not have is null in the new rows. A value that does not fit the stored type fails the load.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table)
-    else:
+    if not spark.catalog.tableExists(table):
         df.write.saveAsTable(table)
+        return
+    stored = {c.lower() for c in spark.table(table).columns}
+    added = [f for f in df.schema.fields if f.name.lower() not in stored]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    given = {c.lower(): c for c in df.columns}
+    df.select(
+        *[
+            F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
+        ]
+    ).write.insertInto(table)
 
 
 def with_leading(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:

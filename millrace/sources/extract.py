@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # From how many rows an extract is read in ranges, and rows per range.
 RANGE_READ_THRESHOLD = 2_000_000
@@ -51,31 +50,24 @@ def parent_object(name: str) -> str | None:
     return None
 
 
-@dataclass(frozen=True)
-class ExtractPlan:
-    query: str
-    ranges: int
-    parent: str | None
-
-
-def plan_extract(
-    name: str,
+def extract_rows(
+    source: DataFrame,
     fields: Sequence[str],
-    rows_to_load: int,
     watermark: str,
     newer_than: datetime | None = None,
-    filters: Mapping[str, Sequence[str]] | None = None,
-) -> ExtractPlan:
-    """Query text and the number of key ranges for one object."""
-    where = list((filters or {}).get(name, ()))
+    filters: Sequence[str] = (),
+) -> DataFrame:
+    """The wanted fields of the rows behind the watermark; Spark pushes the predicates into the scan."""
+    for condition in filters:
+        source = source.where(condition)
     if newer_than is not None:
-        where.append(f"{watermark} > {newer_than.isoformat()}")
-    query = f"select {','.join(fields)} from {name}"
-    if where:
-        query += f" where {' and '.join(where)}"
-    if rows_to_load <= RANGE_READ_THRESHOLD:
-        return ExtractPlan(query, 1, None)
-    return ExtractPlan(query, math.ceil(rows_to_load / ROWS_PER_RANGE), parent_object(name))
+        source = source.where(F.col(watermark) > F.lit(newer_than))
+    return source.select(*fields)
+
+
+def range_count(rows: int, threshold: int = RANGE_READ_THRESHOLD, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """In how many key ranges a database table with so many rows to load is read."""
+    return -(-rows // rows_per_range) if rows > threshold else 1
 
 
 def read_ranges(

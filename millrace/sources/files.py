@@ -38,6 +38,27 @@ def read_csv(
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in texts})
 
 
+def read_csv_by_name(
+    spark: SparkSession, path: str, columns: Iterable[str], newlines_in_values: bool = False
+) -> DataFrame:
+    """The named columns of a quoted CSV with a header, as text, whatever their order in the file.
+
+    A missing column is an error when the file is opened; a line with more or
+    fewer cells than the header is one when it is read. An empty cell is ''.
+    """
+    every = (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", newlines_in_values)
+        .option("mode", "FAILFAST")
+        # Otherwise only the wanted cells of a line are looked at, and a short line passes.
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    return every.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+
+
 def write_csv(df: DataFrame, path: str, line_sep: str = "\n", header: bool = True) -> None:
     (
         df.write.option("header", header)
@@ -51,10 +72,6 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n", header: bool = Tru
     )
 
 
-def read_parquet_variant(spark: SparkSession, path: str) -> DataFrame:
-    return as_variant(spark.read.parquet(path))
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Newline-delimited JSON with a given schema."""
     return spark.read.schema(schema).json(path)

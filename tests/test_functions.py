@@ -97,8 +97,8 @@ def test_pivot_date(one, value, expected):
 
 
 def test_months_and_days(one):
-    assert dates.previous_month("20210902") == "202108"
-    assert dates.previous_month("20210101") == "202012"
+    assert dates.month_before(dt.date(2021, 9, 2)) == "202108"
+    assert dates.month_before(dt.date(2021, 1, 1)) == "202012"
     assert one(dates.previous_month_label, dt.date(2021, 1, 31), "date") == "202012"
     assert one(lambda c: dates.days_since(c, "2021-01-10"), dt.date(2021, 1, 1), "date") == 9
 
@@ -113,7 +113,8 @@ def test_birth_date_tag(one):
 def test_utc(one):
     moment = dt.datetime(2021, 1, 2, 3, 4, 5, 678900)
     assert one(dates.utc_text, moment, "timestamp_ntz") == "2021-01-02 03:04:05.678"
-    assert dates.utc_now_text(dt.datetime(2021, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)) == "2021-01-02 03:04:05.000"
+    assert one(lambda _: dates.load_time("2021-01-02 03:04:05.000"), "") == "2021-01-02 03:04:05.000"
+    assert len(one(lambda _: dates.load_time(), "")) == 23
     assert one(lambda c: F.date_format(dates.local_to_utc(c), "yyyy-MM-dd HH"), moment, "timestamp_ntz") == "2021-01-02 08"
 
 

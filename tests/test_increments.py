@@ -80,16 +80,24 @@ def test_delete_insert(spark, rows):
     assert rows(twice) == rows(upsert.delete_insert(target, keyed, ["k"]))
 
 
-def test_delete_insert_partitions_leaves_other_partitions(spark, rows, monkeypatch):
-    for limit in (10_000, 0):
-        monkeypatch.setattr(upsert, "MAX_LISTED_PARTITIONS", limit)
-        path = scratch_path(spark, "partitioned")
-        target = _df(spark, [(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2")], "k int, v string, day string")
-        target.write.partitionBy("day").parquet(path)
-        stage = _df(spark, [(1, "new", "d1"), (4, "new", "d3")], "k int, v string, day string")
-        upsert.delete_insert_partitions(spark, path, stage, ["k", "day"], "day")
-        got = rows(spark.read.schema(stage.schema).parquet(path))
-        assert got == [(1, "new", "d1"), (2, "b", "d1"), (3, "c", "d2"), (4, "new", "d3")]
+def test_delete_insert_partitions_leaves_other_partitions(spark, rows):
+    path = scratch_path(spark, "partitioned")
+    target = _df(spark, [(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2")], "k int, v string, day string")
+    target.write.partitionBy("day").parquet(path)
+    stage = _df(spark, [(1, "new", "d1"), (4, "new", "d3")], "k int, v string, day string")
+    upsert.delete_insert_partitions(spark, path, stage, ["k", "day"], "day")
+    got = rows(spark.read.schema(stage.schema).parquet(path))
+    assert got == [(1, "new", "d1"), (2, "b", "d1"), (3, "c", "d2"), (4, "new", "d3")]
+
+
+def test_rows_without_a_partition_value_stay(spark, rows):
+    schema, path = "k int, v string, day string", scratch_path(spark, "partitioned")
+    _df(spark, [(1, "a", None), (2, "b", "d1"), (3, "c", None)], schema).write.partitionBy("day").parquet(path)
+    stage = _df(spark, [(1, "new", None), (2, "new", "d1")], schema)
+    upsert.delete_insert_partitions(spark, path, stage, ["k", "day"], "day")
+    got = rows(spark.read.schema(schema).parquet(path))
+    # A null key matches nothing, so both rows of key 1 stay.
+    assert got == sorted([(1, "a", None), (1, "new", None), (2, "new", "d1"), (3, "c", None)], key=repr)
 
 
 def test_merge_latest_buckets_touches_only_its_buckets(spark, rows):

@@ -49,11 +49,16 @@ def test_transform_batches(spark, rows):
     assert rows(got) == sorted([(i, 2 * i) for i in range(10)], key=repr)
 
 
-def test_unknown_key_is_an_error(spark):
-    df = _sealed(spark, [(1, "2024-01-01", "k2", "x", None)])
-    only_first = _keys(spark).drop("name").limit(1)
-    with pytest.raises(PySparkException, match="no data key"):
-        crypto.decrypt_columns(df, ["value"], only_first.where("false"), "id").collect()
+def test_envelopes_that_cannot_be_opened(spark):
+    df = _sealed(spark, [(i, "2024-01-01", "k2", "x", "y") for i in range(4)])
+    bad = F.base64(F.encode(F.lit('{"key": "none"}'), "UTF-8"))
+    wrong = F.base64(F.regexp_replace(F.unbase64("encrypted_value").cast("string"), '"data":"....', '"data":"AAAA').cast("binary"))
+    value = F.when(F.col("id") == 1, wrong).when(F.col("id") == 2, bad).when(F.col("id") == 3, "$$").otherwise(F.col("encrypted_value"))
+    got = crypto.decrypt_columns(df.withColumn("encrypted_value", value), ["value", "note"], _keys(spark).drop("name"), "id")
+    assert {r["id"]: (r["value"], r["note"], list(r["decrypt_errors"])) for r in got.collect()} == {
+        0: ("x", "y", []), 1: (None, "y", ["value: cannot be opened"]), 2: (None, "y", ["value: no data key"]),
+        3: (None, "y", ["value: not an envelope"]),
+    }
 
 
 def test_yaml_post_processing(spark):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from millrace.errors import INPUT_ERRORS
 from millrace.functions.semi import path
 from millrace.operators import quality, wide
 from millrace.operators.typed import DETAIL_SPEC, parse_spec, typed_select
@@ -81,8 +82,8 @@ def test_file_listing(spark):
         spark.range(1).write.parquet(f"{place}/{name}")
     listed = files.list_files(spark, f"{place}/resp*", "part-")
     names = listed.withColumn("name", F.col("path"))
-    targets = {r["target"] for r in files.route_files(names, "risk", "comm", "tcap").collect()}
-    assert targets == {"comm", "tcap"}
+    targets = {r["target"] for r in files.route_files(names, "risk", "comm", "cons").collect()}
+    assert targets == {"comm", "cons"}
     assert files.responses_ready(listed) and not files.responses_ready(listed, listed.count() + 1)
 
 
@@ -109,19 +110,35 @@ def test_extract_rules():
     assert extract.usable_fields("Account", fields) == ["Id", "Language"]
 
 
-def test_extract_plan():
-    filters = {"Account": ["Test_Account__c = FALSE"]}
-    mark = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
-    plan = extract.plan_extract("Account", ["Id", "Name"], 2_000_001, "SystemModstamp", mark, filters)
-    assert plan.query == (
-        "select Id,Name from Account where Test_Account__c = FALSE and SystemModstamp > 2024-01-02T00:00:00+00:00"
-    )
-    assert plan.ranges == 9 and plan.parent is None
-    assert extract.plan_extract("Lead", ["Id"], 2_000_000, "CreatedDate") == extract.ExtractPlan("select Id from Lead", 1, None)
-    # The filter list given by the caller is not changed.
-    assert filters == {"Account": ["Test_Account__c = FALSE"]}
+def test_extract_rows(spark):
+    df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", False)], "Id int, Name string, Test boolean")
+    df = df.selectExpr("*", "timestamp'2024-01-01' + make_dt_interval(Id) as SystemModstamp")
+    mark = dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc)
+    got = extract.extract_rows(df, ["Id", "Name"], "SystemModstamp", mark, ["not Test"])
+    assert got.columns == ["Id", "Name"] and [r["Id"] for r in got.collect()] == [3]
+    assert extract.extract_rows(df, ["Id"], "SystemModstamp").count() == 3
+    assert (extract.range_count(2_000_001), extract.range_count(2_000_000), extract.range_count(9, 5, 4)) == (9, 1, 3)
+
+
+def test_append_keeps_new_columns(spark, rows):
+    table = f"{scratch_schema(spark, 'grow')}.t"
+    tables.append_table(spark.createDataFrame([(1, "a")], "id int, a string"), table)
+    tables.append_table(spark.createDataFrame([(2, 5, "b")], "id int, `new one` int, A string"), table)
+    tables.append_table(spark.createDataFrame([(3,)], "id int"), table)
+    assert rows(spark.table(table)) == sorted([(1, "a", None), (2, "b", 5), (3, None, None)], key=repr)
 
 
+def test_csv_by_name(spark):
+    place = scratch_path(spark, "csv")
+    spark.createDataFrame([("b1", "a1", "")], "b string, a string, c string").write.option("header", True).csv(place)
+    assert tuple(files.read_csv_by_name(spark, place, ["a", "b", "c"]).first()) == ("a1", "b1", "")
+    with pytest.raises(INPUT_ERRORS):
+        files.read_csv_by_name(spark, place, ["a", "missing"]).collect()
+    torn = scratch_path(spark, "csv")
+    spark.createDataFrame([("a,b",), ("1",), ("2,3",)], "value string").coalesce(1).write.text(torn)
+    with pytest.raises(INPUT_ERRORS):
+        files.read_csv_by_name(spark, torn, ["a"]).collect()
+
 def test_wide_parts(spark, rows):
     names = ["Id", "at", *[f"c{i}" for i in range(250)]]
     parts = wide.part_columns(names, ["Id", "at"])
@@ -172,7 +189,7 @@ def test_append_and_dated_copy(spark, rows):
     schema = scratch_schema(spark, "app")
     assert not tables.ensure_table(spark, f"{schema}.t", "a int, b string")
     assert tables.ensure_table(spark, f"{schema}.t", "a int, b string")
-    tables.append_table(spark.createDataFrame([("x", 1)], "b string, a int"), f"{schema}.t")
+    tables.tables.append_table(spark.createDataFrame([("x", 1)], "b string, a int"), f"{schema}.t")
     assert rows(spark.table(f"{schema}.t")) == [(1, "x")]
     place = scratch_path(spark, "dated")
     for label, n in (("202101", 2), ("202102", 3), ("202101", 1)):
@@ -217,7 +234,7 @@ def test_a_table_by_ddl_refuses_long_text(spark, rows):
     ddl = RESPONSE_HEAD.of([("a", 2), ("d", 6)]).ddl(["d"])
     good = spark.createDataFrame([("x", dt.date(2024, 1, 2))], "a string, d date")
     tables.replace_table_as(good, table, ddl)
-    with pytest.raises(PySparkException):
+    with pytest.raises(INPUT_ERRORS):
         tables.replace_table_as(good.withColumn("a", F.lit("long")), table, ddl)
     assert rows(spark.table(table)) == [("x", dt.date(2024, 1, 2))]
     assert dict(spark.table(table).dtypes)["d"] == "date"
