@@ -6,11 +6,12 @@ follow on both sides (position filter). Every order here puts tokens first that
 
 1. Tokens are dealt by hash; each task counts in how many sets its tokens occur. Tokens of one set can match
    nothing, and a set where these leave fewer than ceil(s n) tokens has no partner. Only the other sets go on.
-2. Rounds of leaders: under the first order, each set is compared with the leader of the token block that it meets
-   most often. Found links form components, so a large group of near copies needs no pair inside it.
+2. Rounds of leaders: under the first order, each set is compared with the drawn leaders of the token blocks that it
+   meets most often. Found links form components, so a large group of near copies needs no pair inside it.
 3. The first step is repeated with components in place of sets: tokens that occur in one component only cannot
-   link it to another. Candidates are pairs of different components that pass prefix, position and bitmap filter under
-   all of the orders; only these are verified. The orders differ in how finely they rank by frequency and in their hash.
+   link it to another. Candidates are pairs of different components that share a prefix token under the first order
+   and pass position and bitmap filter; those that also pass under each other order are verified. The orders differ
+   in how finely they rank by frequency and in their hash.
 
 No link between different components is lost, so the components are exact. Tokens are 64-bit hashes, compared by
 their partition and 40 more bits.
@@ -32,8 +33,8 @@ WORDS = 5
 # Similarity as a fraction of integers, so that the threshold is exact.
 SHARED, OF = 75, 100
 ORDERS = 3
-LEADER_ROUNDS = 2
-DRAWS = 6
+LEADER_ROUNDS = 1
+DRAWS = 8
 BITS = 512
 _CHUNK = 1 << 19
 _TOKEN_BYTES = 5
@@ -299,30 +300,45 @@ def _dealt_again(sets: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(sets.select("id", "n", "tokens"), labels).select("id", "comp", "n", "tokens").mapInArrow(run, _PACKED)
 
 
-def _prefixes(batches):
-    """(order, token, id, n, pos) of the prefix tokens that can match, under each order; pos counts from 1.
+# How finely each order ranks tokens by frequency; the rest is left to its hash.
+_COARSE = (1, 8, 24)
 
-    All orders rank tokens of a single set first, so a prefix begins with these, and only its rest is listed.
-    """
-    coarse = (1, 8, 24)
+
+def _prefix(token: np.ndarray, kind: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The tokens of a set's prefix under order `k`, without those that can match nothing, which all orders put first."""
+    length = n - -(-SHARED * n // OF) + 1 - (n - len(token))
+    rank = mix64(token + _U(k * 0x632BE59BD9B4E019 + 1))
+    return token[np.lexsort((rank, kind // _COARSE[k]))[:length]]
+
+
+def _prefixes(batches):
+    """(token, id, n, pos) of the prefix tokens under the first order; pos counts from 1."""
     for batch in batches:
         out = []
         for sid, n, raw, kinds in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            token, kind = np.frombuffer(raw, "<u8"), np.frombuffer(kinds, np.uint8)
+            token = np.frombuffer(raw, "<u8")
+            first = _prefix(token, np.frombuffer(kinds, np.uint8), n, 0)
             alone = n - len(token)
-            length = n - -(-SHARED * n // OF) + 1 - alone
-            for k in range(ORDERS):
-                rank = mix64(token + _U(k * 0x632BE59BD9B4E019 + 1))
-                first = token[np.lexsort((rank, kind // coarse[k]))[:length]]
-                out.append((np.full(len(first), k, np.int8), first.astype(np.int64), np.full(len(first), sid),
-                            np.full(len(first), n, np.int32), np.arange(alone + 1, alone + 1 + len(first), dtype=np.int32)))
+            out.append((first.astype(np.int64), np.full(len(first), sid), np.full(len(first), n, np.int32),
+                        np.arange(alone + 1, alone + 1 + len(first), dtype=np.int32)))
         if out:
             columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["k", "token", "id", "n", "pos"])
+            yield pa.RecordBatch.from_arrays(columns, ["token", "id", "n", "pos"])
+
+
+def _passes(a: tuple, b: tuple, k: int) -> bool:
+    """Whether two sets (n, tokens, classes) share a prefix token under order `k` with enough tokens behind the first."""
+    first, second = (_prefix(token, kind, n, k) for n, token, kind in (a, b))
+    _, at, other = np.intersect1d(first, second, assume_unique=True, return_indices=True)
+    if not len(at):
+        return False
+    # Tokens left after the first shared one, itself included.
+    left = min(len(a[1]) - at.min(), len(b[1]) - other.min())
+    return left * (SHARED + OF) >= (a[0] + b[0]) * SHARED
 
 
 def _prefix_rows(sets: DataFrame) -> DataFrame:
-    rows = sets.select("id", "n", "tokens", "classes").mapInArrow(_prefixes, "k byte, token long, id long, n int, pos int")
+    rows = sets.select("id", "n", "tokens", "classes").mapInArrow(_prefixes, "token long, id long, n int, pos int")
     return materialize(rows, "prefixes")
 
 
@@ -333,27 +349,31 @@ def _enough(n_a: Column, pos_a: Column, n_b: Column, pos_b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity reaches the threshold. `b` may be the same in many pairs."""
-    content = sets.select("id", "n", "tokens")
+    """The pairs (a, b) that pass the filters of the other orders and reach the threshold. `b` may be in many pairs."""
+    columns = ("n", "tokens", "classes")
+    content = sets.select("id", *columns)
     first = join_unique(
-        pairs.select(F.col("a").alias("id"), "b"), content.withColumnsRenamed({"n": "n_a", "tokens": "t_a"}), ["id"], "inner"
+        pairs.select(F.col("a").alias("id"), "b"), content.withColumnsRenamed({c: f"{c}_a" for c in columns}), ["id"], "inner"
     ).withColumnsRenamed({"id": "a", "b": "id"})
-    both = join_unique(first, content.withColumnsRenamed({"n": "n_b", "tokens": "t_b"}), ["id"], "inner")
+    both = join_unique(first, content.withColumnsRenamed({c: f"{c}_b" for c in columns}), ["id"], "inner")
+
+    def linked(n_a, t_a, c_a, n_b, t_b, c_b) -> bool:
+        a = n_a, np.frombuffer(t_a, "<u8"), np.frombuffer(c_a, np.uint8)
+        b = n_b, np.frombuffer(t_b, "<u8"), np.frombuffer(c_b, np.uint8)
+        if not all(_passes(a, b, k) for k in range(1, ORDERS)):
+            return False
+        common = np.concatenate((a[1], b[1]))
+        common.sort(kind="stable")
+        met = int((common[1:] == common[:-1]).sum())
+        return OF * met >= SHARED * (n_a + n_b - met)
 
     def run(batches):
         for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            size = zip(*(column[c].to_pylist() for c in ("n_a", "n_b", "t_a", "t_b")), strict=True)
-            linked = []
-            for n_a, n_b, t_a, t_b in size:
-                common = np.concatenate((np.frombuffer(t_a, "<u8"), np.frombuffer(t_b, "<u8")))
-                common.sort(kind="stable")
-                met = int((common[1:] == common[:-1]).sum())
-                linked.append(OF * met >= SHARED * (n_a + n_b - met))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([column["a"].filter(keep), column["id"].filter(keep)], ["a", "b"])
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 8)), strict=True)
+            keep = pa.array([linked(*row) for row in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return both.select("a", "id", "n_a", "n_b", "t_a", "t_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "id", *[f"{c}_{side}" for side in "ab" for c in columns]).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -361,16 +381,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Smallest labels move along links, and labels jump to the label of their label, until nothing changes.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialize(both, "links")
-    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("comp")), "labels")
+    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    start = ends.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("comp"))
+    labels = materialize(start, "labels")
     while True:
-        near = join_unique(both.withColumnRenamed("b", "id"), labels, ["id"], "inner")
-        least = near.groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near"))
-        moved = labels.join(least, "id").select("id", "comp", F.least("comp", "near").alias("new"))
+        near = join_unique(ends.withColumnRenamed("b", "id"), labels, ["id"], "inner")
+        every = near.select(F.col("a").alias("id"), "comp", F.lit(None).cast("long").alias("own")).union(
+            labels.select("id", "comp", F.col("comp").alias("own"))
+        )
+        moved = every.groupBy("id").agg(F.min("comp").alias("new"), F.max("own").alias("old"))
         target = labels.select(F.col("id").alias("new"), F.col("comp").alias("far"))
-        moved = join_unique(moved, target, ["new"], "inner").select("id", F.col("comp").alias("old"), F.least("new", "far").alias("comp"))
-        moved = materialize(moved, "labels")
+        moved = materialize(
+            join_unique(moved, target, ["new"], "inner").select("id", "old", F.least("new", "far").alias("comp")), "labels"
+        )
         labels = moved.select("id", "comp")
         if moved.where(F.col("old") != F.col("comp")).isEmpty():
             return labels
@@ -387,7 +410,7 @@ def _leader_pairs(rows: DataFrame, step: int) -> DataFrame:
 
     A block's leaders are drawn by hashes, anew in each step, so they mostly are in the block's largest component.
     """
-    rows = rows.where(F.col("k") == 0).select("token", "id", "n", "pos", "comp")
+    rows = rows.select("token", "id", "n", "pos", "comp")
     draws = [F.min(F.struct(F.xxhash64(F.lit(step * DRAWS + d), "id").alias("h"), "comp", "id", "n", "pos")) for d in range(DRAWS)]
     blocks = rows.groupBy("token").agg(F.array(*draws).alias("leads"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     blocks = blocks.where(F.col("low") < F.col("high")).select("token", "leads")
@@ -415,29 +438,25 @@ def _bitmaps(batches):
 
 
 def _candidates(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components that pass the filters under every order.
+    """Pairs of different components that pass the filters of the first order and the bound of their bitmaps.
 
     Bits that differ between the bitmaps of two sets are at most as many as tokens that only one of them has, so they
-    bound the overlap; pairs below what the similarity asks for are no candidates under any order.
+    bound the overlap.
     """
-    live = rows.groupBy("k", "token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    live = live.where(F.col("low") < F.col("high")).select("k", "token")
-    rows = join_unique(rows, live, ["k", "token"], "inner")
+    live = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    rows = join_unique(rows, live.where(F.col("low") < F.col("high")).select("token"), ["token"], "inner")
     words = [f"w{i}" for i in range(BITS // 64)]
     schema = ", ".join(["id long", "listed int", *(f"{w} long" for w in words)])
     bitmaps = sets.select("id", "tokens").mapInArrow(_bitmaps, schema)
     rows = materialize(join_unique(rows, bitmaps, ["id"], "inner"), "blocks")
     a, b = rows.alias("a"), rows.alias("b")
-    other = (F.col("a.k") == F.col("b.k")) & (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id"))
+    other = (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id"))
     differ = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words), F.lit(0))
     size = F.col("a.n") + F.col("b.n")
     overlap = (F.col("a.listed") + F.col("b.listed") - differ) * (SHARED + OF) >= size * (2 * SHARED)
     near = _enough(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
     met = a.join(b, other & (F.col("a.comp") != F.col("b.comp")) & near & overlap)
-    passed = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(
-        F.bit_or(F.expr("shiftleft(1, int(a.k))")).alias("orders")
-    )
-    return passed.where(F.col("orders") == (1 << ORDERS) - 1).select("a", "b")
+    return met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
