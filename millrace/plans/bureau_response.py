@@ -18,9 +18,11 @@ from millrace.sources.fixedwidth import drop_markers, parse, read_lines
 from millrace.sources.layout import PERSONAL_END_OFFSETS, Layout
 
 
-def raw_response(lines: DataFrame, layout: Layout, columns: Sequence[str] | None = None) -> DataFrame:
+def raw_response(
+    lines: DataFrame, layout: Layout, columns: Sequence[str] | None = None, in_batches: bool = False
+) -> DataFrame:
     """Sliced response rows, personal fields emptied before anything is stored."""
-    return parse(drop_markers(lines), layout, layout.ending_at(PERSONAL_END_OFFSETS), columns)
+    return parse(drop_markers(lines), layout, layout.ending_at(PERSONAL_END_OFFSETS), columns, in_batches=in_batches)
 
 
 def staged_response(raw: DataFrame, date_columns: Sequence[str], as_of: dt.date) -> DataFrame:
@@ -60,13 +62,14 @@ def load_consumer_response(
     run_date: dt.date,
     targets: ResponseTargets,
     import_ts: str | None = None,
+    in_batches: bool = False,
 ) -> None:
     """Landed file to raw, staged and public tables with a dated copy of the first two.
 
-    Each step reads the table the step before wrote, so the text is sliced once.
+    Ask for `in_batches` with a layout of many hundred fields. Each step reads the table the step before wrote, so the text is sliced once.
     """
     month = month_before(run_date)
-    replace_table_as(raw_response(read_lines(spark, path), layout), targets.raw, layout.ddl())
+    replace_table_as(raw_response(read_lines(spark, path), layout, in_batches=in_batches), targets.raw, layout.ddl())
     raw = spark.table(targets.raw)
     write_dated_copy(raw, targets.raw_history, month)
     replace_table_as(staged_response(raw, date_columns, run_date), targets.staged, layout.ddl(date_columns))

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from millrace.functions.text import WHITESPACE, decode_bytes, escape_commas, fixed, strip
 from millrace.sources.layout import HEADER_PREFIX, TRAILER_PREFIX, Layout
 
-# From this many fields on, one expression per field costs more in planning and
-# code generation than slicing Arrow batches does.
-WIDE_FIELDS = 200
 LINES_AT_ONCE = 500
 
 
@@ -58,21 +55,22 @@ def slice_fields(
     return out
 
 
-def _slice_batches(layout: Layout, mask: Sequence[str], escape: bool):
-    spans = [
-        (name, start, None if name == layout.names[-1] else start + width)
+def _slice_batches(layout: Layout, mask: Sequence[str], escape: bool, wanted: Sequence[str]):
+    spans = {
+        name: (start, None if name == layout.names[-1] else start + width)
         for (name, width), start in zip(layout.fields, layout.starts)
-    ]
-
-    def cut(lines: list[str]) -> pd.DataFrame:
-        columns = {}
-        for name, start, end in spans:
-            if name in mask:
-                columns[name] = [""] * len(lines)
-            else:
-                fields = [line[start:end].strip(WHITESPACE) for line in lines]
-                columns[name] = [f.replace(",", "\\,") for f in fields] if escape else fields
-        return pd.DataFrame(columns)
+    }
+
+    def field(line: str | None, start: int, end: int | None) -> str | None:
+        if line is None:
+            return None
+        text = line[start:end].strip(WHITESPACE)
+        return text.replace(",", "\\,") if escape else text
+
+    def cut(lines: list[str | None]) -> pd.DataFrame:
+        return pd.DataFrame(
+            {n: [""] * len(lines) if n in mask else [field(line, *spans[n]) for line in lines] for n in wanted}
+        )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -90,14 +88,20 @@ def parse(
     mask: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     escape: bool = False,
+    in_batches: bool = False,
 ) -> DataFrame:
-    """Slice `value` by the layout. Ask for `columns` to slice only those."""
+    """Slice `value` by the layout. Ask for `columns` to slice only those.
+
+    One expression per field is costly to plan and compile for layouts of many
+    hundred fields; `in_batches` slices Arrow batches instead, with the same
+    result. A null line has null fields, masked ones are empty.
+    """
     wanted = list(columns or layout.names)
-    if len(wanted) < WIDE_FIELDS:
+    if not in_batches:
         sliced = dict(zip(layout.names, slice_fields(F.col("value"), layout, mask, escape)))
         return lines.select(*[sliced[name] for name in wanted])
-    schema = ", ".join(f"`{name}` string" for name in layout.names)
-    return lines.select("value").mapInPandas(_slice_batches(layout, mask, escape), schema).select(*wanted)
+    schema = ", ".join(f"`{name}` string" for name in wanted)
+    return lines.select("value").mapInPandas(_slice_batches(layout, mask, escape, wanted), schema)
 
 
 def render(layout: Layout, values: dict[str, Column]) -> Column:

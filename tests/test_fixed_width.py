@@ -51,20 +51,21 @@ def test_parse_short_blank_and_long_lines(spark):
     assert sorted(map(tuple, got.collect())) == [("", "", ""), ("1", "", ""), ("12", "", ""), ("12", "", "cc and rest")]
 
 
-def test_wide_parse_equals_narrow_parse(spark, monkeypatch, rows):
+def test_wide_parse_equals_narrow_parse(spark, rows):
     layout = Layout.of([(f"f{i}", 1 + i % 5) for i in range(30)])
     df = _lines(spark, ["".join(chr(97 + (i * j) % 26) for j in range(n)) + " é," for i, n in enumerate(range(0, 100, 7))])
-    narrow = rows(fixedwidth.parse(df, layout, mask=["f3"], escape=True))
-    monkeypatch.setattr(fixedwidth, "WIDE_FIELDS", 10)
-    assert rows(fixedwidth.parse(df, layout, mask=["f3"], escape=True)) == narrow
+    df = df.union(df.limit(1).selectExpr(*[f"cast(null as {t}) as {c}" if c == "value" else c for c, t in df.dtypes]))
+    for columns in (None, ["f7", "f3", "f29"]):
+        narrow = rows(fixedwidth.parse(df, layout, mask=["f3"], columns=columns, escape=True))
+        assert rows(fixedwidth.parse(df, layout, mask=["f3"], columns=columns, escape=True, in_batches=True)) == narrow
 
 
 def test_wide_layout_of_a_thousand_fields(spark):
     layout = Layout.of([(f"f{i}", 1 + i % 9) for i in range(1425)])
     line = "".join(str(i % 10) * w for i, (_, w) in enumerate(layout.fields))
-    row = fixedwidth.parse(_lines(spark, [line]), layout).first()
+    row = fixedwidth.parse(_lines(spark, [line]), layout, in_batches=True).first()
     assert all(row[n] == str(i % 10) * w for i, (n, w) in enumerate(layout.fields))
-    assert fixedwidth.parse(_lines(spark, [line]), layout, columns=["f1424"]).columns == ["f1424"]
+    assert fixedwidth.parse(_lines(spark, [line]), layout, columns=["f1424"], in_batches=True).columns == ["f1424"]
 
 
 def test_render_rejects_unknown_fields():
