@@ -161,8 +161,15 @@ def mark(
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `documents` that hold no window of an item, unchanged."""
-    return mark(documents, benchmark, text).where(~F.col("contaminated")).select(*documents.columns)
+    """The rows of `documents` that hold no window of an item, unchanged.
+
+    The mark goes through a generator, below which Spark does not push the filter: pushed down, the condition would
+    hold the whole scan, and split a text into words anew for each of its windows.
+    """
+    marked = mark(documents, benchmark, text)
+    flag = free_name(documents, "_hit")
+    kept = marked.select(*[F.col(f"`{c}`") for c in documents.columns], F.explode(F.array("contaminated")).alias(flag))
+    return kept.where(~F.col(flag)).select(*documents.columns)
 
 
 def without_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
