@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 # for when the keys are even. `force` keeps it on below an aggregation.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Strict casts and overflow checks rest on it.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
