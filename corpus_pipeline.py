@@ -22,13 +22,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; one row of repeated rows."""
+    """Of each group of near duplicates the document with the smallest id; one without an id only if none has one.
+
+    Groups are of texts: different texts that nothing links all stay, also with the same id or without any. Rows with
+    the same id and the same shingles become one row, that with the smallest text.
+    """
     prepare(spark)
-    groups = jaccard.near_duplicates(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = docs.join(materialize(first, "kept"), "doc_id")
-    once, repeated = kept.where(F.col("_n") == 1), kept.where(F.col("_n") > 1)
-    return once.unionByName(repeated.dropDuplicates(["doc_id"])).select(*docs.columns)
+    return jaccard.first_of_each_group(docs)
 
 
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

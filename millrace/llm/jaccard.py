@@ -19,11 +19,14 @@ their partition and 40 more bits.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import mix64, table, text_chunks
 from millrace.operators.joins import join_unique
@@ -101,24 +104,31 @@ def _names(sets: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
-def classes_of(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, n_shingles, hi, lo): rows with equal sets have equal (hi, lo). A row without shingles is named by its key."""
-    rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+def classes_of(df: DataFrame, key: str, text: str, words: int, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, n_shingles, hi, lo): rows with equal sets have equal (hi, lo). A row without shingles is named by its key.
+
+    The columns `keep` of `df` follow as c0, c1 and so on.
+    """
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *kept)
 
     def run(batches):
         for batch in batches:
             for start, texts in text_chunks(batch.column(1), _CHUNK):
                 sets, stop = shingle_sets(texts, words)
                 name = _names(sets, stop)
-                columns = [batch.column(0)[start : start + len(texts)], np.diff(stop, prepend=0), name[:, 0], name[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "n_shingles", "hi", "lo"])
+                cut = batch.slice(start, len(texts)).columns
+                made = [pa.array(c) for c in (np.diff(stop, prepend=0), name[:, 0], name[:, 1])]
+                yield pa.RecordBatch.from_arrays([cut[0], *made, *cut[2:]], ["key", "n_shingles", "hi", "lo", *batch.schema.names[2:]])
 
     empty = F.col("n_shingles") == 0
-    return rows.mapInArrow(run, "key long, n_shingles long, hi long, lo long").select(
+    added = [T.StructField(c, T.LongType()) for c in ("n_shingles", "hi", "lo")]
+    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], *added, *rows.schema.fields[2:]])).select(
         "key",
         "n_shingles",
         F.when(empty, F.coalesce("key", F.lit(-1))).otherwise(F.col("hi")).alias("hi"),
         F.when(empty, F.lit(0)).otherwise(F.col("lo")).alias("lo"),
+        *[f"c{i}" for i in range(len(keep))],
     )
 
 
@@ -459,15 +469,10 @@ def _candidates(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(key, n_shingles, component_id) for every row: the smallest key that similar texts reach, itself included.
-
-    Null, empty and blank texts have no shingle and stand alone. Rows with the same key are one document. An empty
-    table gives an empty result; other columns of `df` are not read.
-    """
+def _linked(df: DataFrame, text: str, words: int) -> DataFrame:
+    """(hi, lo, comp) of the classes that similarity links to another one; equal `comp` where links reach."""
     spark = df.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 20)
-    base = materialize(classes_of(df, key, text, words), "classes")
     sets = _able(_dealt(df, text, words, parts), parts, by_component=False)
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     prefixes = _prefix_rows(sets)
@@ -484,14 +489,60 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     pairs = _candidates(_labelled(_prefix_rows(rest), labels), rest)
     labels = components(links.union(materialize(_verified(pairs, rest), "links")))
 
+    return labels.join(sets.select("id", "hi", "lo"), "id").select("hi", "lo", "comp")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """(key, n_shingles, component_id) for every row: the smallest key that similar texts reach, itself included.
+
+    Null, empty and blank texts have no shingle and stand alone. Rows with the same key are one document. An empty
+    table gives an empty result; other columns of `df` are not read.
+    """
+    base = materialize(classes_of(df, key, text, words), "classes")
+    linked = _linked(df, text, words)
     smallest = base.groupBy("hi", "lo").agg(F.min("key").alias("first"))
-    groups = labels.join(sets.select("id", "hi", "lo"), "id").join(smallest, ["hi", "lo"])
+    groups = linked.join(smallest, ["hi", "lo"])
     group = groups.groupBy("comp").agg(F.min("first").alias("component"))
     groups = join_unique(groups.select("hi", "lo", "comp"), group, ["comp"], "inner").select("hi", "lo", "component")
     classes = smallest.join(groups, ["hi", "lo"], "left").select("hi", "lo", F.coalesce("component", "first").alias("component_id"))
     return join_unique(base, classes, ["hi", "lo"], "left").select(F.col("key").alias(key), "n_shingles", "component_id")
 
 
+def first_of_each_group(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """One row of `df` per group of similar texts: that of the smallest key; a null key comes last.
+
+    Groups are of texts, not of keys: rows with the same key and texts that nothing links all stay, and a group
+    without any key keeps a row as well. Of rows with the same key and the same set of shingles the one with the
+    smallest text stays. Rows without a shingle stand alone: one per key, and all of those without a key.
+    """
+    bare = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rest = df.where(~bare)
+    base = materialize(classes_of(rest, key, text, words), "classes")
+    keys = base.groupBy("hi", "lo", "key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "n")).alias("first")
+    classes = materialize(keys.groupBy("hi", "lo").agg(first).select("hi", "lo", "first.*"), "first")
+
+    # A linked class stays if its key is the smallest of its group.
+    linked = materialize(_linked(rest, text, words), "linked")
+    leads = linked.join(classes, ["hi", "lo"]).groupBy("comp").agg(F.min(F.struct("no_key", "key", "hi", "lo")).alias("lead"))
+    leads = leads.select("lead.hi", "lead.lo")
+    others = linked.select("hi", "lo").join(leads, ["hi", "lo"], "left_anti")
+    kept = classes.join(others, ["hi", "lo"], "left_anti")
+    kept = materialize(kept.select("hi", "lo", "no_key", F.coalesce("key", F.lit(0)).alias("own"), "n"), "kept")
+
+    rows = classes_of(rest, key, text, words, df.columns).withColumn("no_key", F.col("key").isNull())
+    rows = rows.withColumn("own", F.coalesce("key", F.lit(0))).drop("key")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    on = ["hi", "lo", "no_key", "own"]
+    made = join_unique(rows, kept.where(F.col("n") == 1).drop("n"), on, "inner").select(*names)
+    repeated = kept.where(F.col("n") > 1).drop("n")
+    if not repeated.isEmpty():
+        order = F.struct(f"c{df.columns.index(text)}", F.xxhash64(*names))
+        again = join_unique(rows, repeated, on, "inner").groupBy(*on).agg(F.min_by(F.struct(*names), order).alias("row"))
+        made = made.unionByName(again.select("row.*"))
+    return made.toDF(*df.columns).unionByName(df.where(bare))
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 

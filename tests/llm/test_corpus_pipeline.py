@@ -94,6 +94,28 @@ def test_odd_documents(spark):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_ids_that_are_null_or_shared(spark):
+    pairs = [
+        (None, "no identifier and a text of its own"), (None, "another text without any identifier here"),
+        (None, "a copy that also has an identifier"), (7, "A copy that also has an IDENTIFIER"),
+        (None, "twice the same and never an identifier"), (None, "twice the same and never an identifier"),
+        (8, "one of two texts that share an id"), (8, "second words entirely unlike those before them"),
+        (9, "Repeated row in two spellings of it"), (9, "repeated row in two spellings of it"),
+        (None, None), (None, " "), (-1, ""), (-1, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in pairs], schema)
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    want = [pairs[i] for i in (0, 1, 3, 4, 6, 7, 8, 10, 11, 13)]
+    assert kept.columns == docs.columns and sorted(texts(kept), key=repr) == sorted(want, key=repr)
+
+    folder = scratch_path(spark, "ids")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    ids = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()]
+    assert sorted(ids, key=repr) == sorted([pairs[i][0] for i in (0, 1, 3, 4, 6, 7, 8)], key=repr)
+
+
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
     assert numbers == list(range(1, 11)) and {*registry.QUERIES, "pipeline"} <= set(queries())
