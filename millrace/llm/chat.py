@@ -7,13 +7,16 @@ Messages are rows of (conversation, turn, role, text). The text of an assistant
 Results are hash-joined to calls by conversation and identifier; the first call with an identifier counts. Events
 are ordered by turn, but each result behind its call and each call behind those it needs. Arguments are validated
 against the schema of their tool. Each event is serialised as canonical JSON: sorted keys, no blanks. Conversations
-are never gathered: positions come from counts carried over ranges, so one may hold any number of turns.
+are never gathered: positions come from counts carried over ranges, so one may hold any number of turns. Only the
+links of a conversation that some joined rounds do not order (no texts, three numbers an end) are ordered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +25,8 @@ from millrace.operators.joins import join_unique
 from millrace.operators.ranges import in_order, running_total_before
 from millrace.session import materialize
 
-# An event that is still moved after so many rounds waits for itself: its order fails, and it keeps its turn.
-MAX_ROUNDS = 40
+# Rounds by joins; conversations in which events still move then are ordered each in a task, at any depth.
+JOINED_ROUNDS = 8
 _TYPES = {
     "string": "STRING",
     "integer": "BIGINT",
@@ -91,16 +94,82 @@ def _errors(schemas: Mapping[str, Schema]) -> Column:
     return cases.otherwise(F.array(F.lit("unknown tool")))
 
 
+def _settled(table: pa.Table) -> pa.Table:
+    """(row, at, level, cyclic) for the ends of a conversation's links, as rounds without end would place them.
+
+    An event ends at the latest turn that its needs reach. Only needs that end at the same turn can move it there; an
+    event that peeling along those leaves over waits for itself or for a cycle.
+    """
+    ends = {c: table.column(c).to_numpy() for c in ("row", "at", "part", "needs", "first_at", "first_part")}
+    ids, first = np.unique(np.concatenate((ends["row"], ends["needs"])), return_index=True)
+    start, part = (np.concatenate((ends[a], ends[b]))[first] for a, b in (("at", "first_at"), ("part", "first_part")))
+    # Events are numbered by turn, part and row, the order of events at the same place.
+    order = np.lexsort((ids, part, start))
+    number = np.empty(len(ids), np.int64)
+    number[order] = np.arange(len(ids))
+    own, need = (number[np.searchsorted(ids, ends[c])] for c in ("row", "needs"))
+    ids, start = ids[order], start[order]
+
+    waiting: list[list[int]] = [[] for _ in ids]
+    for u, v in zip(own.tolist(), need.tolist(), strict=True):
+        waiting[v].append(u)
+    last = [-1] * len(ids)
+    for top in range(len(ids) - 1, -1, -1):
+        reach = [top] if last[top] < 0 else []
+        while reach:
+            v = reach.pop()
+            if last[v] < 0:
+                last[v] = top
+                reach += [u for u in waiting[v] if last[u] < 0]
+    end = start[np.array(last)]
+    binds = end[own] == end[need]
+    own, need = own[binds], need[binds]
+
+    pending = np.bincount(own, minlength=len(ids)).tolist()
+    free = [v for v, n in enumerate(pending) if not n]
+    while free:
+        v = free.pop()
+        for u in waiting[v]:
+            if end[u] == end[v]:
+                pending[u] -= 1
+                if not pending[u]:
+                    free.append(u)
+    cyclic = np.array(pending) > 0
+
+    finite = ~cyclic[own] & ~cyclic[need]
+    by_own = np.argsort(own[finite], kind="stable")
+    own, need = own[finite][by_own], need[finite][by_own]
+    turns, turn = np.unique(start, return_inverse=True)
+    # Turn and level in one number: a level is below the number of events.
+    place = turn * (len(ids) + 1)
+    changed = np.ones(len(ids), bool)
+    while True:
+        near = np.flatnonzero(changed[own] | changed[need])
+        u, v = own[near], need[near]
+        behind = (place[u] < place[v]) | ((place[u] == place[v]) & (u <= v))
+        u, v = u[behind], v[behind]
+        if not len(u):
+            break
+        begin = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+        changed[:] = False
+        changed[u[begin]] = True
+        place[u[begin]] = np.maximum.reduceat(place[v], begin) + 1
+    at, level = turns[place // (len(ids) + 1)], place % (len(ids) + 1)
+    return pa.table({"row": ids, "at": np.where(cyclic, start, at), "level": np.where(cyclic, 0, level).astype(np.int32), "cyclic": cyclic})
+
+
 def _ordered(events: DataFrame, edges: DataFrame) -> DataFrame:
     """(row, at, level, cyclic): an event comes behind the events it needs, else at its turn.
 
-    `edges`: (row, needs). Only events whose need stands behind them are moved, to one level behind it.
+    `edges`: (conv, row, needs). Only events whose need stands behind them are moved, to one level behind it, until
+    none moves. An event that would move for ever, as it waits for itself or for such an event, is cyclic: its order
+    fails, and it keeps its turn.
     """
     start = F.coalesce("turn", F.lit(-1))
     places = events.select("row", start.alias("at"), F.lit(0).alias("level"), start.alias("turn"), "part")
     edges = materialize(edges, "needs")
     moved = None
-    for _ in range(MAX_ROUNDS):
+    for _ in range(JOINED_ROUNDS):
         here = places if moved is None else (
             join_unique(places, moved, ["row"], "left")
             .select("row", F.coalesce("new_at", "at").alias("at"), F.coalesce("new_level", "level").alias("level"), "turn", "part")
@@ -109,22 +178,29 @@ def _ordered(events: DataFrame, edges: DataFrame) -> DataFrame:
         met = join_unique(edges, key, ["row"], "inner").withColumnRenamed("key", "own")
         need = key.select(F.col("row").alias("needs"), F.col("key").alias("first"))
         met = join_unique(met, need, ["needs"], "inner").where(F.col("own") <= F.col("first"))
-        step = met.groupBy("row").agg(F.max(F.struct("first.at", "first.level")).alias("behind"))
-        step = step.select("row", F.col("behind.at").alias("new_at"), (F.col("behind.level") + 1).alias("new_level"))
+        step = met.groupBy("row").agg(F.max(F.struct("first.at", "first.level")).alias("behind"), F.first("conv").alias("conv"))
+        step = step.select("row", F.col("behind.at").alias("new_at"), (F.col("behind.level") + 1).alias("new_level"), "conv")
         step = materialize(step, "moved")
         if step.isEmpty():
             return here.select("row", "at", "level", F.lit(False).alias("cyclic"))
+        late = step.select("conv").distinct()
+        step = step.drop("conv")
         if moved is not None:
             step = materialize(step.union(moved.join(step, "row", "left_anti")), "moved")
         moved = step
-    stuck = moved.where(F.col("new_level") >= MAX_ROUNDS).select("row", F.lit(True).alias("stuck"))
-    final = join_unique(places, moved, ["row"], "left").join(stuck, "row", "left")
-    cyclic = F.coalesce("stuck", F.lit(False))
+
+    rest = join_unique(edges, materialize(late, "late"), ["conv"], "inner")
+    rest = join_unique(rest, places.select("row", "at", "part"), ["row"], "inner")
+    need = places.select(F.col("row").alias("needs"), F.col("at").alias("first_at"), F.col("part").alias("first_part"))
+    rest = join_unique(rest, need, ["needs"], "inner").select("conv", "row", "at", "part", "needs", "first_at", "first_part")
+    settled = rest.groupBy("conv").applyInArrow(_settled, "row long, at long, level int, cyclic boolean")
+    settled = materialize(settled.withColumnsRenamed({"at": "end_at", "level": "end_level"}), "settled")
+    final = join_unique(join_unique(places, moved, ["row"], "left"), settled, ["row"], "left")
     return final.select(
         "row",
-        F.when(cyclic, F.col("at")).otherwise(F.coalesce("new_at", "at")).alias("at"),
-        F.when(cyclic, 0).otherwise(F.coalesce("new_level", "level")).alias("level"),
-        cyclic.alias("cyclic"),
+        F.coalesce("end_at", "new_at", "at").alias("at"),
+        F.coalesce("end_level", "new_level", "level").alias("level"),
+        F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
     )
 
 
@@ -155,9 +231,9 @@ def format_chat(
     first = calls.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "part", "row")).alias("first"))
     first = first.select("conv", "call_id", F.col("first.row").alias("needs"))
     results = named.where((F.col("kind") == "result") & F.col("conv").isNotNull()).select("conv", "call_id", "row")
-    links = materialize(join_unique(results, first, ["conv", "call_id"], "inner").select("row", "needs"), "links")
+    links = materialize(join_unique(results, first, ["conv", "call_id"], "inner").select("conv", "row", "needs"), "links")
     after = calls.select("row", "conv", F.explode(F.array_distinct("after")).alias("call_id"))
-    needed = join_unique(after, first, ["conv", "call_id"], "inner").select("row", "needs")
+    needed = join_unique(after, first, ["conv", "call_id"], "inner").select("conv", "row", "needs")
     places = _ordered(events, links.union(needed))
 
     linked = links.select("row").union(links.select(F.col("needs").alias("row"))).distinct().withColumn("met", F.lit(True))

@@ -1,7 +1,9 @@
 """Tool-call linking: links, order, validation and canonical JSON."""
 
 import json
+import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millrace.llm import chat
@@ -97,6 +99,44 @@ def test_calls_that_wait_for_each_other(spark):
     assert got[-1]["kind"] == "message"
 
 
+def test_chains_of_any_depth(spark):
+    n = 300
+    chain = [(f"c{i}", "none", {}, [f"c{i + 1}"]) for i in range(n)] + [(f"c{n}", "none", {})]
+    rows = [(1, 0, "assistant", call(*chain)), (1, 1, "user", "after")]
+    rows += [(2, i, "assistant", call(c)) for i, c in enumerate(chain)] + [(2, n + 1 + i, "tool", answer(f"c{i}")) for i in range(n + 1)]
+    # Events that wait for a cycle of the same turn fail with it, those of a later turn come behind it anyway.
+    rows += [(3, 0, "assistant", call(*chain, ("x", "none", {}, ["y"]), ("y", "none", {}, ["x"]), ("z", "none", {}, ["x", "c0"])))]
+    rows += [(3, 1, "tool", answer("c0")), (3, 2, "tool", answer("x"))]
+    got = formatted(spark, rows)
+    back = [f"c{i}" for i in range(n, -1, -1)]
+    assert [r["call_id"] for r in got if r["conv_id"] == 1] == [*back, None]
+    assert [r["call_id"] for r in got if r["conv_id"] == 2 and r["kind"] == "call"] == back
+    assert all(r["valid"] and not r["errors"] for r in got if r["conv_id"] == 2)
+    third = [r for r in got if r["conv_id"] == 3]
+    assert [r["call_id"] for r in third if r["errors"]] == ["x", "y", "z"] and [r["position"] for r in third] == list(range(len(third)))
+    assert [r["call_id"] for r in third if r["call_id"][0] == "c" and r["kind"] == "call"] == back
+    assert [(r["kind"], r["valid"]) for r in third[-2:]] == [("result", True)] * 2
+
+
+def test_settled_as_rounds_do():
+    pick = random.Random(3)
+    for _ in range(200):
+        start = {i: (pick.randrange(4), pick.randrange(3)) for i in range(12)}
+        links = sorted({(pick.randrange(12), pick.randrange(12)) for _ in range(pick.choice([4, 10, 14]))})
+        at = {i: (t, 0) for i, (t, _) in start.items()}
+        for _ in range(400):
+            key = {i: (*at[i], *start[i], i) for i in at}
+            step = {}
+            for u, v in links:
+                if key[u] <= key[v]:
+                    step[u] = max(step.get(u, (0, 0)), (at[v][0], at[v][1] + 1))
+            at.update(step)
+        want = {i: (start[i][0], 0, True) if at[i][1] > 100 else (*at[i], False) for pair in links for i in pair}
+        columns = [(u, *start[u], v, *start[v]) for u, v in links]
+        table = pa.table(dict(zip(("row", "at", "part", "needs", "first_at", "first_part"), map(list, zip(*columns)))))
+        assert {r["row"]: (r["at"], r["level"], r["cyclic"]) for r in chat._settled(table).to_pylist()} == want
+
+
 def test_large_conversation_is_split(spark):
     rows = spark.range(2000).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "'t' as text")
     out = chat.format_chat(chat.as_tool_calls(rows), chat.REPLY)
