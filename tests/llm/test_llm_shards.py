@@ -1,6 +1,7 @@
 """Shards by histogram sort: near equal bytes, gapless slots, any distribution of keys."""
 
 import random
+import zlib
 
 import pytest
 
@@ -74,3 +75,14 @@ def test_borders_are_the_nearest():
     bins = [shards.Bin((i, 0), (i, 1), 10, 1) for i in range(10)]
     pieces = shards.cut_pieces(bins, 3, 1, 100)
     assert [sum(len(p.bins) for p in pieces if p.shard == s) for s in range(3)] == [3, 4, 3]
+
+
+def test_query_moves_whole_documents(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = shards.op4_histogram_shards(spark, str(tmp_path))
+    assert sorted((r["doc_id"], r["text_crc32"]) for r in df.collect()) == [(1, zlib.crc32(b"a")), (2, 0)]
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Window":
+        plan = plan.children().head()
+    moved = plan.children().head().output()
+    assert "text" in [moved.apply(i).name() for i in range(moved.size())]
