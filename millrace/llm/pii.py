@@ -4,7 +4,8 @@ Base forms (email, ip, card, phone) are found in one pass over whole texts. They
 words around a seed are lexical patterns of its kind. Identifiers of a looser form are candidates. Patterns and
 values form a graph; Spark scores it in rounds: a pattern by the share of known values among those it surrounds, a
 value by the patterns around it (noisy or). A pattern with enough different seeds and a high score discovers the
-candidates in its place, such as a phone number without its plus sign.
+candidates in its place, such as a phone number without its plus sign. Values around patterns of a higher score are
+seeds of the next pass, until a pass finds no new one.
 
 Spans depend on texts alone, so what is discovered is joined to texts by two hashes of theirs.
 """
@@ -24,10 +25,13 @@ from millrace.operators.joins import join_unique
 from millrace.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+# Rounds of one pass. More of them would draw every pattern with seeds towards 1; what is found counts in the next pass.
 ROUNDS = 2
 # A pattern needs so many different seeds, and such a score, to discover.
 MIN_SEEDS = 3
 MIN_SCORE = 0.6
+# Values around a pattern with such a score count as seeds in the next pass.
+SURE_SCORE = 0.75
 # Broadcast discovered spans only up to so many texts; more are joined by shuffle.
 MAX_BROADCAST = 100_000
 
@@ -39,12 +43,13 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 # Looser forms of the kinds, for candidates.
-_LOOSE_EMAIL = re.compile(r"[^\s@<>()\",;]{1,64}+@[^\s@<>()\",;]{1,64}")
+_LOOSE_EMAIL = re.compile(r"(?<![^\s@<>()\",;])[^\s@<>()\",;]++@[^\s@<>()\",;]++")
 _LOOSE_IP = re.compile(r"(?<![0-9.])[0-9]++(?:\.[0-9]++){3,5}")
 _LOOSE_NUMBER = re.compile(r"(?<![0-9])[0-9]++(?:[ ().-]{1,2}[0-9]++)*+")
 _NUMBER_SIGNS = str.maketrans("", "", " ().-+")
 _EDGE = ".,;:!?\"'()[]{}<>|"
-_CONTEXT_CHARS = 80
+# A longer word is known by as many characters next to the place, and no context reaches beyond it.
+_WORD_CHARS = 80
 
 
 def _luhn(digits: str) -> bool:
@@ -119,15 +124,29 @@ def loose_spans(text: str, known: Sequence[tuple[int, int, int]]) -> list[tuple[
     return free
 
 
-def _words(text: str) -> list[str]:
-    words = (w.strip(_EDGE) for w in text.lower().split())
-    return [re.sub("[0-9]", "0", w) for w in words if w]
+def _words_beside(text: str, at: int, step: int, n: int) -> list[str]:
+    """The first `n` words met from `at` on, backwards if `step` is -1, in any distance."""
+    words: list[str] = []
+    edge = len(text) if step > 0 else 0
+    ahead = 0 if step > 0 else -1
+    while at != edge and len(words) < n:
+        while at != edge and text[at + ahead].isspace():
+            at += step
+        begin = at
+        while at != edge and abs(at - begin) < _WORD_CHARS and not text[at + ahead].isspace():
+            at += step
+        word = text[min(begin, at) : max(begin, at)].lower().strip(_EDGE)
+        if word:
+            words.append(re.sub("[0-9]", "0", word))
+        if at != edge and not text[at + ahead].isspace():
+            break
+    return words
 
 
 def patterns_at(text: str, begin: int, end: int) -> list[str]:
     """The lexical patterns of a place: the two words before it, and the words on both sides."""
-    left = _words(text[max(0, begin - _CONTEXT_CHARS) : begin])[-2:]
-    right = _words(text[end : end + _CONTEXT_CHARS])[:1]
+    left = _words_beside(text, begin, -1, 2)[::-1]
+    right = _words_beside(text, end, 1, 1)
     made = []
     if len(left) == 2:
         made.append(f"{left[0]} {left[1]} _")
@@ -186,7 +205,13 @@ def score_patterns(
     `edges`: distinct (kind, pattern, value, seed). Each round scores patterns by the mean score of their values,
     then values by 1 - product of (1 - score) over their patterns with enough seeds; seeds keep 1.
     """
-    edges = materialize(edges, "edges")
+    return _scored(materialize(edges, "edges"), rounds, min_seeds).where(F.col("strength") >= min_score).select(
+        "kind", "pattern", F.col("strength").alias("score")
+    )
+
+
+def _scored(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """(kind, pattern, strength, seeds) of the patterns with enough seeds."""
     values = edges.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score"))
     patterns = None
     for step in range(rounds):
@@ -202,14 +227,36 @@ def score_patterns(
                 "kind", "value", F.when(F.col("score") == 1, 1.0).otherwise(F.coalesce("near", F.lit(0.0))).alias("score")
             )
             values = materialize(values, "values")
-    return patterns.where(F.col("strength") >= min_score).select("kind", "pattern", F.col("strength").alias("score"))
+    return patterns
+
+
+def bootstrapped_patterns(edges: DataFrame) -> DataFrame:
+    """(kind, pattern, score) of the patterns that may discover, after as many passes as find new seeds.
+
+    A pass scores patterns as `score_patterns` does; values around those of a sure score are seeds of the next one.
+    Seeds only grow in number, so the passes end. A pattern that qualified once stays.
+    """
+    edges = materialize(edges, "edges")
+    current, known, n_known, every = edges, None, 0, None
+    while True:
+        patterns = _scored(current)
+        every = patterns if every is None else every.union(patterns)
+        sure = patterns.where(F.col("strength") >= SURE_SCORE).select("kind", "pattern")
+        around = join_unique(edges, sure, ["kind", "pattern"], "inner").select("kind", "value")
+        known = materialize((around if known is None else around.union(known)).distinct(), "known")
+        before, n_known = n_known, known.count()
+        if n_known == before:
+            return every.groupBy("kind", "pattern").agg(F.max("strength").alias("score")).where(F.col("score") >= MIN_SCORE)
+        marked = join_unique(edges, known.withColumn("known", F.lit(True)), ["kind", "value"], "left")
+        marked = marked.groupBy("kind", "pattern", "value").agg(F.max(F.col("seed") | F.coalesce("known", F.lit(False))).alias("seed"))
+        current = materialize(marked, "edges")
 
 
 def discover(scanned: DataFrame) -> DataFrame:
     """(_high, _low, _found): the spans that patterns discover in each text that has any."""
     place = scanned.select("_high", "_low", F.explode("_places").alias("p"))
     places = place.select("_high", "_low", "p.kind", "p.begin", "p.stop", "p.seed", "p.value", F.explode("p.patterns").alias("pattern"))
-    patterns = score_patterns(places.select("kind", "pattern", "value", "seed").distinct())
+    patterns = bootstrapped_patterns(places.select("kind", "pattern", "value", "seed").distinct())
     met = join_unique(places.where(~F.col("seed")), patterns.drop("score"), ["kind", "pattern"], "inner")
     spans = met.select("_high", "_low", F.struct("kind", "begin", "stop").alias("span")).distinct()
     return spans.groupBy("_high", "_low").agg(F.collect_list("span").alias("_found"))

@@ -93,6 +93,32 @@ def test_scores(spark):
     assert first == {"p": 0.8} and abs(second["p"] - (4 + 0.8) / 5) < 1e-9
 
 
+def test_discovered_values_are_seeds(spark):
+    docs = [(i, f"please call me at +1 (555) 010-{1000 + i} today") for i in range(8)]
+    steps = ["call me at {} today", "my fax line {} rings", "old pager code {} beeps", "last desk number {} works"]
+    for k in range(3):  # each step is reached through the values of the one before
+        docs += [(100 + 10 * k + i, f"Word {steps[k].format(f'555-01{k}-700{i}')} and {steps[k + 1].format(f'555-01{k}-700{i}')}") for i in range(4)]
+    docs += [(200, "so the last desk number 555-099-1234 works"), (201, "an order of lot 555-099-1234 pieces")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found[200] == "phone:24:36" and found[201] == ""
+    assert all(found[100 + 10 * k + i].count("phone") == 2 for k in range(3) for i in range(4))
+
+
+def test_contexts_of_whole_words_in_any_distance():
+    long, blanks = "w" * 70, " " * 300
+    text = f"{long} {long}{blanks}5551234567 . {blanks}{long}7 x"
+    at = text.index("555")
+    assert pii.patterns_at(text, at, at + 10) == [f"{long} {long} _", f"{long} _ {long}0"]
+    glued = "5551234567," * 20_000
+    assert max(len(p) for s in pii.loose_spans(glued, []) for p in pii.patterns_at(glued, *s[1:])) < 200
+
+
+def test_loose_addresses_are_whole():
+    local, domain = "é" * 100, "host" * 30
+    text = f"to {local}@{domain}, a@b@c"
+    assert [text[b:e] for _, b, e in pii.loose_spans(text, [])] == [f"{local}@{domain}", "a@b"]
+
+
 def test_redaction(spark):
     rows = spark.createDataFrame(planted(), "doc_id long, text string").selectExpr("*", "doc_id as `_high2`", "'x' as kind")
     out = pii.redact(rows)
