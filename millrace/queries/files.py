@@ -585,10 +585,19 @@ def table_checks(t: Tables):
     )
 
 
-@query("select 'comm' as target union all select 'cons'")
+@query("""
+    select case when c_custkey % 2 = 0 then 'comm' else 'cons' end as target,
+      case when c_custkey % 2 = 0 then 'risk' else 'dv' end || '_' || cast(floor(c_custkey / 5000) as bigint) as file,
+      count(*) as n, cast(sum(c_custkey) as bigint) as keys
+    from customer group by 1, 2
+""")
 def file_discovery(t: Tables):
+    """Landed files of a range of keys each, their targets, and what is in them."""
     place = scratch_path(t.spark, "inbox")
-    for name in ("risk", "dv"):
-        t.customer.write.parquet(f"{place}/{name}")
-    files = list_files(t.spark, f"{place}/*", "part-").withColumn("name", F.col("path"))
-    return route_files(files, "/risk/", "comm", "cons").select("target").distinct()
+    kind = F.when(F.col("c_custkey") % 2 == 0, "risk").otherwise("dv")
+    named = t.customer.withColumn("file", F.concat_ws("_", kind, F.floor(F.col("c_custkey") / 5000).cast("string")))
+    named.repartition("file").write.partitionBy("file").parquet(place)
+    files = list_files(t.spark, f"{place}/*", "part-").withColumn("name", F.regexp_extract("path", "file=([^/]+)/", 1))
+    routed = route_files(files, "risk_", "comm", "cons").select(F.col("name").alias("file"), "target").distinct()
+    held = t.spark.read.parquet(place).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+    return routed.join(held, "file").select("target", "file", "n", "keys")

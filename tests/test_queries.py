@@ -41,3 +41,9 @@ def test_entry(spark):
 def test_every_query_has_a_check():
     assert set(registry.CHECKS) == set(registry.QUERIES)
     assert set(registry.QUERIES) <= set(entry.queries())
+
+
+def test_file_discovery_follows_its_table(spark):
+    rows = registry.QUERIES["file_discovery"](spark, str(FOLDER)).collect()
+    assert {r["target"] for r in rows} == {"comm", "cons"}
+    assert sum(r["n"] for r in rows) == spark.read.parquet(f"{FOLDER}/customer.parquet").count()
