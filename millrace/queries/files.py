@@ -17,7 +17,7 @@ from millrace.functions.text import (
 )
 from millrace.operators.crypto import decrypt_columns
 from millrace.operators.quality import table_checks as checks_of, validate_lines
-from millrace.operators.typed import DETAIL_SPEC
+from millrace.operators.typed import DETAIL_SPEC, parse_spec
 from millrace.plans.bureau_request import (
     commercial_request,
     commercial_rows,
@@ -307,33 +307,71 @@ DETAIL_ROWS = Entity(
 )
 
 
+RISK_ROWS = Entity(
+    "customer",
+    (
+        "concat('r', cast(c_custkey as string)) as `Reference`",
+        "case when c_nationkey > 3 then cast(c_custkey * 3 as string) else '' end as `Risk Score`",
+        "c_mktsegment as `Risk Class`",
+    ),
+)
+# A second, smaller specification: the 337 columns of the real one are a parameter.
+RISK_SPEC = parse_spec(
+    """
+    reference          | Reference          | varchar(50)
+    risk_score         | Risk Score         | number(38,0)?
+    risk_class         | Risk Class         | varchar(4)
+    imported_file_name | imported_file_name | varchar(100)
+    import_month       | import_month       | varchar(6)
+    import_ts          | import_ts          | timestamp
+    """
+)
+
+
 @query(f"""
     select "CUST REF NBR" as cust_ref_nbr, "NAME" as name, cast(null as varchar) as telephone1,
       cast(nullif("SEQUENCE NUMBER", '') as double) as sequence_number, left("Score Code2", 5) as score_code2,
-      'dv.parquet' as imported_file_name, '202108' as import_month, '2021-09-02 01:02:03' as import_ts
+      'dv.parquet' as imported_file_name, '202108' as import_month, '2021-09-02 01:02:03' as import_ts, 'detail' as target
     from {DETAIL_ROWS.sql.replace('`', '"')}
+    union all select "Reference", null, null, cast(nullif("Risk Score", '') as double), left("Risk Class", 4),
+      'risk.parquet', '202108', '2021-09-02 01:02:03', 'risk'
+    from {RISK_ROWS.sql.replace('`', '"')}
 """)
 def commercial_response_load(t: Tables):
     rows = DETAIL_ROWS.frame(t)
     sources = [c.source for c in DETAIL_SPEC if c.source and not c.source.startswith("import")]
     full = rows.select(*[F.col(f"`{s}`") if s in rows.columns else F.lit("").alias(s) for s in sources])
-    place, table = scratch_path(t.spark, "detail"), f"{scratch_schema(t.spark, 'commercial')}.detail"
+    place, schema = scratch_path(t.spark, "detail"), scratch_schema(t.spark, "commercial")
+    table, risk_place, risk_table = f"{schema}.detail", scratch_path(t.spark, "risk"), f"{schema}.risk"
     write_csv(full, place)
+    write_csv(RISK_ROWS.frame(t), risk_place)
     files = {
         "dv.parquet": (place, DETAIL_SPEC, table),
-        "risk.parquet": (place + "-missing", DETAIL_SPEC, table),
+        "risk.parquet": (risk_place, RISK_SPEC, risk_table),
+        "late.parquet": (place + "-missing", DETAIL_SPEC, table),
     }
     load_commercial_responses(t.spark, files, RUN_DATE, "2021-09-02 01:02:03.456")
-    return t.spark.table(table).select(
+    stamps = ["imported_file_name", "import_month", F.date_format("import_ts", "yyyy-MM-dd HH:mm:ss").alias("import_ts")]
+    detail = t.spark.table(table).select(
         "cust_ref_nbr",
         "name",
         "telephone1",
         F.col("sequence_number").cast("double").alias("sequence_number"),
         "score_code2",
-        "imported_file_name",
-        "import_month",
-        F.date_format("import_ts", "yyyy-MM-dd HH:mm:ss").alias("import_ts"),
+        *stamps,
+        F.lit("detail").alias("target"),
+    )
+    nothing = F.lit(None).cast("string")
+    risk = t.spark.table(risk_table).select(
+        F.col("reference").alias("cust_ref_nbr"),
+        nothing.alias("name"),
+        nothing.alias("telephone1"),
+        F.col("risk_score").cast("double").alias("sequence_number"),
+        F.col("risk_class").alias("score_code2"),
+        *stamps,
+        F.lit("risk").alias("target"),
     )
+    return detail.unionByName(risk)
 
 
 @query("""

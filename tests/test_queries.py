@@ -47,3 +47,9 @@ def test_file_discovery_follows_its_table(spark):
     rows = registry.QUERIES["file_discovery"](spark, str(FOLDER)).collect()
     assert {r["target"] for r in rows} == {"comm", "cons"}
     assert sum(r["n"] for r in rows) == spark.read.parquet(f"{FOLDER}/customer.parquet").count()
+
+
+def test_both_commercial_files_are_loaded(spark):
+    rows = registry.QUERIES["commercial_response_load"](spark, str(FOLDER)).groupBy("target").count().collect()
+    n = spark.read.parquet(f"{FOLDER}/customer.parquet").count()
+    assert {r["target"]: r["count"] for r in rows} == {"detail": n, "risk": n}
