@@ -194,23 +194,48 @@ def fixed_width_parse(t: Tables):
     return parse(drop_markers(lines), REQUEST_LAYOUT)
 
 
+# Faults over the whole request file: a letter in every seventh sin, every eleventh line cut behind the birth date.
+_WRONG_SIN, _SHORT = "id % 7 = 3", "id % 11 = 5"
+_CUT = 94
+
+
+def _faulty_file(t: Tables) -> str:
+    """The request file with these faults, a wrong header and a wrong count in its trailer."""
+    sin = F.concat(F.substring("line", 1, 79), F.lit("12345678X"), F.expr("substring(line, 89)"))
+    body = consumer_lines(REQUEST_ROWS.frame(t)).withColumn("line", F.when(F.expr(_WRONG_SIN), sin).otherwise(F.col("line")))
+    body = body.withColumn("line", F.when(F.expr(_SHORT), F.substring("line", 1, _CUT)).otherwise(F.col("line")))
+    edge, count = F.col("line"), F.expr("cast(cast(substring(line, 43) as bigint) + 1 as string)")
+    line = F.when(edge.startswith("BHDR-"), F.concat(F.lit("X"), F.expr("substring(line, 2)")))
+    line = line.when(edge.startswith("BTRL-"), F.concat(F.substring("line", 1, 42), F.lpad(count, 8, "0"))).otherwise(edge)
+    place = scratch_path(t.spark, "faulty")
+    write_lines(frame_lines(body, STAMP).withColumn("line", line), place)
+    return place
+
+
 @query(f"""
-    with l as (select applicant_guid as guid, line, length(line) + 1 as len,
+    with r as (select id, applicant_guid, case when {_WRONG_SIN} then substr(line, 1, 79) || '12345678X' || substr(line, 89)
+        else line end as line from {REQUEST_SQL}),
+    f as (select case when {_SHORT} then '' else applicant_guid end as guid,
+        case when {_SHORT} then substr(line, 1, {_CUT}) else line end as line from r),
+    l as (select guid, line, length(line) + 1 as len,
         substr(line, 89, 6) as dob, substr(line, 95, 30) as address, substr(line, 125, 20) as city,
         substr(line, 145, 2) as province, substr(line, 147, 6) as postal, substr(line, 80, 9) as sin
-      from {REQUEST_SQL})
+      from f)
     select category, guid, value from (
       select 'dob' as category, guid, dob as value from l where not regexp_full_match(dob, '[0-9]{{6}}')
         or not (cast(substr(dob, 1, 2) as int) between 1 and 12 and cast(substr(dob, 3, 2) as int) between 1 and 31)
-      union all select 'address', guid, address from l where trim(address) = ''
-      union all select 'city', guid, city from l where trim(city) = ''
-      union all select 'province', guid, province from l where not regexp_full_match(province, '[A-Za-z]+')
+      union all select 'address', guid, address from l where trim(address) = '' and address <> ''
+      union all select 'city', guid, city from l where trim(city) = '' and city <> ''
+      union all select 'province', guid, province from l where not regexp_full_match(province, '[A-Za-z]+') and province <> ''
       union all select 'postal', guid, postal from l
-        where not regexp_matches(postal, '^[a-zA-Z][0-9][a-zA-Z][0-9][a-zA-Z][0-9]') and postal <> '      '
-      union all select 'sin', guid, sin from l where not regexp_full_match(sin, '[0-9]+') and sin <> '         ')
+        where not regexp_matches(postal, '^[a-zA-Z][0-9][a-zA-Z][0-9][a-zA-Z][0-9]') and postal not in ('      ', '')
+      union all select 'sin', guid, sin from l where not regexp_full_match(sin, '[0-9]+') and sin <> '         '
+      union all select 'length', null, cast(len as varchar) from l where len <> 221
+      union all select 'header', null, 'prefix error: X{HEADER[1:]}' || chr(10)
+      union all select 'footer', null, 'count error: ' || cast(count(*) + 1 as varchar) from l)
 """)
 def line_validation(t: Tables):
-    return validate_lines(read_lines(t.spark, _request_file(t), "windows-1252"))
+    return validate_lines(read_lines(t.spark, _faulty_file(t), "windows-1252"))
 
 
 RESPONSE_ROWS = Entity(

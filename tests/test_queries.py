@@ -53,3 +53,8 @@ def test_both_commercial_files_are_loaded(spark):
     rows = registry.QUERIES["commercial_response_load"](spark, str(FOLDER)).groupBy("target").count().collect()
     n = spark.read.parquet(f"{FOLDER}/customer.parquet").count()
     assert {r["target"]: r["count"] for r in rows} == {"detail": n, "risk": n}
+
+
+def test_line_validation_meets_each_kind_of_rule(spark):
+    found = {r["category"] for r in registry.QUERIES["line_validation"](spark, str(FOLDER)).select("category").distinct().collect()}
+    assert {"header", "footer", "length", "sin"} <= found
