@@ -158,6 +158,27 @@ def _rotated(key: np.ndarray, begin: np.ndarray, place: np.ndarray, period: np.n
     return start
 
 
+def _merged(key: np.ndarray, begin: np.ndarray, place: np.ndarray, period: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and least period of the runs that some squares lie in, each run once.
+
+    A run ends where its squares end. Of the squares with one end that of the least period is rotated first; the others
+    inside its run are of multiples of the period and go. What is left lies in longer runs and comes in the next round.
+    """
+    end = place + 2 * period
+    by_end = np.lexsort((period, end))
+    place, period, end = place[by_end], period[by_end], end[by_end]
+    starts, ends, periods = [place[:0]], [place[:0]], [place[:0]]
+    while len(place):
+        first = np.append(True, end[1:] != end[:-1])
+        start = _rotated(key, begin, place[first], period[first])
+        starts.append(start)
+        ends.append(end[first])
+        periods.append(period[first])
+        left = place < start[np.cumsum(first) - 1]
+        place, period, end = place[left], period[left], end[left]
+    return np.concatenate(starts), np.concatenate(ends), np.concatenate(periods)
+
+
 class Found(NamedTuple):
     words: list[bytes]
     start: np.ndarray
@@ -198,14 +219,9 @@ def runs_of(texts: Sequence[str | None], min_length: int = MIN_LENGTH, power: in
     del keys, number
     begin, stop = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
     place, period = branching_squares(suffix_array(key, stop), begin, stop, power)
-    start = _rotated(key, begin, place, period)
-    end = place + 2 * period
+    start, end, period = _merged(key, begin, place, period)
     long = end - start >= np.maximum(min_length, power * period)
     start, end, period = start[long], end[long], period[long]
-    by_place = np.lexsort((period, end, start))
-    start, end, period = start[by_place], end[by_place], period[by_place]
-    least = np.append(True, (start[1:] != start[:-1]) | (end[1:] != end[:-1]))[: len(start)]
-    start, end, period = start[least], end[least], period[least]
     in_order = np.lexsort((period, start))
     start, end, period = start[in_order], end[in_order], period[in_order]
     cut = np.searchsorted(start, ends)
@@ -299,25 +315,26 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(made_periodic(table(spark, folder, "documents")), keep=["doc_id"])
 
 
-# CRC-32 of a decimal number `{}` as text.
+# CRC-32 of a decimal number `{}` as text, over the rows of `crc_list`.
 SQL_CRC32 = (
     "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({0}::varchar) + 1), "
-    "i -> ascii(substr({0}::varchar, i, 1))::bigint)), "
-    "(c, b) -> xor(c >> 8, (select list(v order by k) from crc_table)[(xor(c & 255, b) + 1)::int])), 4294967295)"
+    "lambda i: ascii(substr({0}::varchar, i, 1))::bigint)), "
+    "lambda c, b: xor(c >> 8, crc[(xor(c & 255, b) + 1)::int])), 4294967295)"
 )
 SQL_CRC_TABLE = """
 crc_table as (
   select k, list_reduce(list_prepend(k, [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
-    (c, b) -> case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
-  from (select unnest(range(256))::bigint as k))
+    lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+  from (select unnest(range(256))::bigint as k)),
+crc_list as (select list(v order by k) as crc from crc_table)
 """
 _SQL = f"""
 with {SQL_CRC_TABLE},
 cut as (select doc_id, {SQL_CRC32.format("doc_id")} as h,
-  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words from documents),
+  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words from documents, crc_list),
 numbers as (select *, len(words) as n, h // 10 as g from cut),
 planted as (select *, h % 10 = 0 and n > 0 as made, case when n > 0 then g % n end as a from numbers),
-texts as (select doc_id, n, case when made then list_transform(range(n), i -> words[(case when i < a then i
+texts as (select doc_id, n, case when made then list_transform(range(n), lambda i: words[(case when i < a then i
     else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end + 1)::int]) else words end as words from planted),
 word as (select doc_id, n, unnest(words) as w, generate_subscripts(words, 1) - 1 as i from texts),
 pairs as (select x.doc_id, x.i, y.i - x.i as q, x.i - row_number() over (partition by x.doc_id, y.i - x.i order by x.i) as island
