@@ -38,10 +38,11 @@ from millrace.llm.common import table, text_chunks
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 1024
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 96 << 20
 REMEMBERED_PAIRS = 300_000
 PIECE = 1 << 18
-_ENTRY = 160  # bytes that one remembered pre-token costs beside its own
+_ENTRY = 180  # bytes that one remembered pre-token costs beside its own
+_SHORT = 255  # code points of a pre-token that is remembered; it has no more tokens than fit a byte
 _BATCH = 4 << 20
 
 # Contractions of the pattern whose own prefixes are two pre-tokens.
@@ -115,6 +116,7 @@ class PrefixCounter:
         self._ends.make_automaton()
         self._cut = regex.compile(self.pattern).findall
         self._blank = regex.compile(r"(?<=\S)\s").search
+        self._blanks = regex.compile(r"\s\s").search
         self._special = regex.compile("|".join(map(regex.escape, self.vocabulary.special))).search if self.vocabulary.special else None
         self._apart: dict[int, bool] = {}
         self._known: dict[str, bytes] = {}
@@ -152,70 +154,73 @@ class PrefixCounter:
             if left < 0:
                 known = self._merged(tokens[right]) == [right]
             else:
-                known = self._stay(-1, right) and self._merged(tokens[left] + tokens[right]) == [left, right]
+                known = (left, right) not in self.vocabulary.merges and self._stay(-1, right) and self._merged(tokens[left] + tokens[right]) == [left, right]
             if len(self._apart) >= REMEMBERED_PAIRS:
                 self._apart.clear()
             self._apart[key] = known
         return known
 
-    def _in_bytes(self, raw: bytes) -> np.ndarray:
-        """Token counts of the prefixes of a pre-token of 1, 2, ... bytes."""
+    def _in_bytes(self, raw: bytes) -> list[int]:
+        """Token counts of the prefixes of a pre-token of 0, 1, 2, ... bytes."""
         count, last = [0] * (len(raw) + 1), [-1] * (len(raw) + 1)
-        stay, done = self._stay, -1
+        known, stay, width, done = self._apart.get, self._stay, self._size, 0
         for at, (size, token) in self._ends.iter(raw.decode("latin-1")):
-            if at == done:
+            if at < done:
                 continue
             start = at + 1 - size
-            if stay(last[start], token):
-                count[at + 1], last[at + 1], done = count[start] + 1, token, at
-        return np.array(count[1:], "<i4")
-
-    def _in_piece(self, piece: str) -> bytes:
-        """Token counts of the prefixes of a pre-token of 1, 2, ... code points, as little-endian 32-bit integers."""
+            left = last[start]
+            apart = known(left * width + token)
+            if stay(left, token) if apart is None else apart:
+                done = at + 1
+                count[done], last[done] = count[start] + 1, token
+        return count
+
+    def _in_piece(self, piece: str) -> list[int]:
+        """Token counts of the prefixes of a pre-token of 1, 2, ... code points."""
         raw = piece.encode()
         counts = self._in_bytes(raw)
         if len(raw) != len(piece):
-            lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
-            counts = counts[np.append(np.flatnonzero(lead)[1:], len(raw)) - 1]
+            # A prefix ends where the next byte is no continuation of a character.
+            counts = [0, *(n for n, after in zip(counts[1:], raw[1:] + b" ", strict=True) if after & 0xC0 != 0x80)]
         if piece in CONTRACTIONS:
-            counts[1] = sum(int(self._in_bytes(c.encode())[-1]) for c in piece[:2])
-        return counts.tobytes()
+            counts[2] = sum(self._in_bytes(c.encode())[-1] for c in piece[:2])
+        return counts[1:]
 
     def _look_up(self, pieces: Sequence[str]) -> list[bytes]:
+        """Counts of each of some pre-tokens of at most `_SHORT` code points, a byte each."""
         known = self._known
-        try:
-            return list(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        here = {}
-        for piece in set(pieces):
-            found = here[piece] = known.get(piece) or self._in_piece(piece)
-            if piece not in known:
-                cost = len(found) + 4 * len(piece) + _ENTRY
-                if cost > REMEMBERED_BYTES >> 4:
-                    continue
-                if self._held + cost > REMEMBERED_BYTES:
-                    known.clear()
-                    self._held = 0
-                known[piece] = found
-                self._held += cost
-        return list(map(here.__getitem__, pieces))
+        if new := set(pieces).difference(known):
+            if self._held > REMEMBERED_BYTES:
+                known.clear()
+                self._held, new = 0, set(pieces)
+            for piece in new:
+                known[piece] = bytes(self._in_piece(piece))
+            self._held += sum(map(len, new)) * 2 + len(new) * _ENTRY
+        return list(map(known.__getitem__, pieces))
 
     def _plain(self, text: str) -> tuple[np.ndarray, str]:
         """Counts of the prefixes of 1, 2, ... code points of a text without special strings, and its last pre-token."""
         if not text:
             return np.empty(0, np.int32), ""
         pieces = self._cut(text)
-        counts = np.frombuffer(b"".join(self._look_up(pieces)), "<i4")
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        totals = counts[np.cumsum(sizes) - 1]
+        if sizes.max() <= _SHORT:
+            counts = np.frombuffer(b"".join(self._look_up(pieces)), np.uint8).astype(np.int32)
+        else:
+            short = dict.fromkeys(p for p in pieces if len(p) <= _SHORT)
+            short = dict(zip(short, self._look_up(list(short)), strict=True))
+            counts = np.concatenate([
+                np.frombuffer(short[p], np.uint8).astype(np.int32) if p in short else np.array(self._in_piece(p), np.int32) for p in pieces
+            ])
+        ends = np.cumsum(sizes)
+        totals = counts[ends - 1]
         base = np.cumsum(totals) - totals
-        counts = counts + np.repeat(base, sizes).astype(np.int32)
-        begin = np.cumsum(sizes) - sizes
-        for k, piece in enumerate(pieces[:-1]):
-            # One more blank than the run in front of a word has: the prefix is a run of its own.
-            if piece.isspace() and pieces[k + 1][0].isspace():
-                counts[begin[k + 1]] = base[k] + int.from_bytes(self._in_piece(piece + pieces[k + 1][0])[-4:], "little")
+        counts += np.repeat(base.astype(np.int32), sizes)
+        if self._blanks(text):
+            for k, piece in enumerate(pieces[:-1]):
+                # One more blank than the run in front of a word has: the prefix is a run of its own.
+                if piece.isspace() and pieces[k + 1][0].isspace():
+                    counts[ends[k]] = base[k] + self._in_piece(piece + pieces[k + 1][0])[-1]
         return counts, pieces[-1]
 
     def _pieces(self, text: str) -> Iterator[tuple[str, bool]]:

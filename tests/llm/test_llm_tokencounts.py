@@ -43,7 +43,7 @@ def test_every_prefix(counter, library):
 
 def test_every_code_point(counter, library):
     for low in range(0, 0x110000, 0x4000):
-        text = "".join(f"a{chr(c)} {chr(c)}1" for c in range(low, low + 0x4000) if not 0xD800 <= c < 0xE000)
+        text = "".join(f"a{chr(c)} " for c in range(low, low + 0x4000) if not 0xD800 <= c < 0xE000)
         assert int(list(counter.counts(text))[-1][-1]) == len(library.encode(text, add_special_tokens=False).ids)
 
 
