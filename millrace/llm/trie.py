@@ -341,36 +341,37 @@ def _scan(items: DataFrame, roots: bool, segment: int, block_rows: int) -> DataF
 _SUMS = ("n", "full", "ended", "equal", "shared", "prefixes", "leaves", "saved")
 
 
-def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per key of sorted pieces; the ids that end there are hashed one piece after the other."""
-    names = list(_OUT)
-    held: dict | None = None
-    digest, any_end = hashlib.sha256(), False
+_KEY = ["key1", "key2", "seg", "depth"]
+_ENDS_DDL = "key1 long, key2 long, seg long, depth long, ends string"
 
-    def closed():
-        return {**held, "kind": _NODE, "ends": digest.hexdigest()}
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of the ids of each key, which come in order, some at a time."""
+    key, digest, done = None, None, []
     for batch in batches:
+        for *here, ends in zip(*(batch.column(c).to_pylist() for c in (*_KEY, "ends")), strict=True):
+            if here == key:
+                digest.update(b"," + ends.encode())
+                continue
+            if key is not None:
+                done.append((*key, digest.hexdigest()))
+            key, digest = here, hashlib.sha256(ends.encode())
+        yield pa.RecordBatch.from_pylist([dict(zip((*_KEY, "ends"), row, strict=True)) for row in done], schema=_ENDS)
         done = []
-        for piece in batch.to_pylist():
-            key = piece["key1"], piece["key2"], piece["seg"], piece["depth"]
-            if held is None or key != (held["key1"], held["key2"], held["seg"], held["depth"]):
-                if held is not None:
-                    done.append(closed())
-                held, digest, any_end = piece, hashlib.sha256(), False
-            else:
-                for c in _SUMS:
-                    held[c] += piece[c]
-                for c, pick in (("conv", min), ("up_conv", min), ("before", max), ("up1", max), ("up2", max)):
-                    both = [v for v in (held[c], piece[c]) if v is not None]
-                    held[c] = pick(both) if both else None
-            if piece["ends"]:
-                digest.update(("," if any_end else "").encode() + piece["ends"].encode())
-                any_end = True
-        if done:
-            yield pa.RecordBatch.from_pylist(done, schema=pa.schema(_OUT))
-    if held is not None:
-        yield pa.RecordBatch.from_pylist([closed()], schema=pa.schema(_OUT)).select(names)
+    if key is not None:
+        yield pa.RecordBatch.from_pylist([dict(zip((*_KEY, "ends"), (*key, digest.hexdigest()), strict=True))], schema=_ENDS)
+
+
+_ENDS = pa.schema([(c, pa.int64()) for c in _KEY] + [("ends", pa.string())])
+
+
+def _added_up(pieces: DataFrame) -> DataFrame:
+    """One row per key. Numbers are added up before the shuffle; only ids that end at a node are brought in order."""
+    one = [F.min("conv").alias("conv"), F.min("up_conv").alias("up_conv"), *(F.max(c).alias(c) for c in ("before", "up1", "up2"))]
+    sums = pieces.groupBy(*_KEY).agg(*(F.sum(c).alias(c) for c in _SUMS), *one)
+    ends = pieces.where("ends is not null").select(*_KEY, "chunk", "block", "ends")
+    ends = ends.repartition(*_KEY).sortWithinPartitions(*_KEY, "chunk", "block").mapInArrow(_hashed, _ENDS_DDL)
+    return join_unique(sums, ends, _KEY, "left").withColumns({"kind": F.lit(_PIECE), "ends": F.coalesce("ends", F.lit(_NO_ENDS))})
 
 
 def _pieces(scanned: DataFrame) -> DataFrame:
@@ -379,9 +380,8 @@ def _pieces(scanned: DataFrame) -> DataFrame:
     # One row per range: the window without a key sees no more.
     ranges = first.select("chunk").distinct().select("chunk", F.lag("chunk").over(W.orderBy("chunk")).alias("prior"))
     first = first.join(F.broadcast(ranges), "chunk")
-    key = ["key1", "key2", "seg", "depth"]
-    met = first.select("chunk", "prior", *key, "shared").join(
-        last.select(F.col("chunk").alias("prior"), *key, F.col("shared").alias("total")), ["prior", *key]
+    met = first.select("chunk", "prior", *_KEY, "shared").join(
+        last.select(F.col("chunk").alias("prior"), *_KEY, F.col("shared").alias("total")), ["prior", *_KEY]
     )
     deepest = met.groupBy("chunk").agg(F.max("depth").alias("lcp"), F.max_by("shared", "depth").alias("common"))
     met = met.join(deepest, "chunk")
@@ -392,7 +392,7 @@ def _pieces(scanned: DataFrame) -> DataFrame:
         "prefixes": (F.col("lcp") == F.col("total")).cast("long"),
     }
     over = met.select(*[
-        told[f.name].alias(f.name) if f.name in told else F.col(f.name) if f.name in ("chunk", *key) else F.lit(None).cast(f.dataType).alias(f.name)
+        told[f.name].alias(f.name) if f.name in told else F.col(f.name) if f.name in ("chunk", *_KEY) else F.lit(None).cast(f.dataType).alias(f.name)
         for f in scanned.schema.fields
     ])
     return scanned.where(F.col("kind") == _PIECE).union(over)
@@ -401,11 +401,9 @@ def _pieces(scanned: DataFrame) -> DataFrame:
 def _nodes(items: DataFrame, roots: bool, segment: int, block_rows: int) -> DataFrame:
     """One row per prefix of a segment, with what its interval adds up to; `kind` is 1 for those that were in pieces."""
     scanned = _scan(items, roots, segment, block_rows)
-    pieces = _pieces(scanned)
-    key = ["key1", "key2", "seg", "depth"]
-    pieces = pieces.repartition(*key).sortWithinPartitions(*key, "chunk", "block")
-    whole = materialize(pieces.mapInArrow(_added_up, _OUT_DDL), "pieces").withColumn("kind", F.lit(_PIECE))
-    rows = scanned.where(F.col("kind") == _NODE).union(whole)
+    whole = materialize(_added_up(_pieces(scanned)), "pieces")
+    columns = ["kind", *_KEY, "up1", "up2", "conv", "up_conv", *_SUMS, "before", "ends"]
+    rows = scanned.where(F.col("kind") == _NODE).select(*columns).union(whole.select(*columns))
     return rows.withColumns({
         "leaves": F.col("n") - F.col("prefixes") + F.col("leaves"),
         "saved": F.col("shared") - (F.col("n") - 1) * F.col("before") + F.col("saved"),
