@@ -60,6 +60,7 @@ from millrace.sinks.requests import frame_lines, write_lines
 from millrace.sinks.tables import write_dated_copy
 from millrace.sources.files import audited, list_files, read_csv, route_files, source_file, write_csv
 from millrace.sources.fixedwidth import drop_markers, parse, read_lines, render
+from millrace.sources.streams import read_csv_splits, read_json_objects
 from millrace.sources.layout import REQUEST_LAYOUT, RESPONSE_HEAD
 
 RUN_DATE = dt.date(2021, 9, 2)
@@ -87,6 +88,46 @@ def csv_round_trip(t: Tables):
     return read_csv(t.spark, place, rows.schema, newlines_in_values=True)
 
 
+LINE_TEXT = Entity(
+    "lineitem",
+    (
+        "l_orderkey",
+        "l_linenumber",
+        "concat(l_returnflag, ' \"', l_linestatus, '\",', chr(10), chr(10), cast(l_partkey as string)) as l_note",
+        "case when l_quantity > 25 then '' else concat(chr(13), chr(10), l_returnflag) end as l_mark",
+        "l_extendedprice",
+    ),
+)
+
+
+@query(f"select * from {LINE_TEXT.sql}")
+def csv_splits(t: Tables):
+    """Line breaks in values; each file is read by as many tasks as it has splits."""
+    rows, place = LINE_TEXT.frame(t), scratch_path(t.spark, "csv")
+    write_csv(rows, place)
+    return read_csv_splits(t.spark, place, rows.schema)
+
+
+EVENT_TEXT = Entity(
+    "events",
+    (
+        "event_id",
+        "user_id",
+        "value",
+        "concat(event_type, '}{\"', chr(92), props, chr(10), '}') as note",
+    ),
+)
+
+
+@query(f"select * from {EVENT_TEXT.sql}")
+def json_objects(t: Tables):
+    """Objects landed back to back, a hundred a line, with braces, quotes and line breaks in their texts."""
+    rows, place = EVENT_TEXT.frame(t), scratch_path(t.spark, "objects")
+    packed = rows.groupBy(F.floor(F.col("event_id") / 100).alias("line")).agg(F.collect_list(F.to_json(F.struct(*rows.columns))).alias("objects"))
+    packed.select(F.array_join("objects", "")).write.text(place)
+    return read_json_objects(t.spark, place, rows.schema)
+
+
 @query("""
     select s_suppkey, '202108' as import_month, cast(null as varchar) as accountid,
       '2021-09-02 10:00:00.000' as import_ts, 'supplier.parquet' as imported_file_name

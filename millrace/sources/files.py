@@ -22,7 +22,7 @@ def read_csv(
     """Quoted CSV. Give a schema: inference reads the data twice.
 
     `newlines_in_values` makes a file unsplittable, so it is asked for, not
-    assumed. `keep_empty` keeps an empty text cell as '' instead of null.
+    assumed; `streams.read_csv_splits` reads large files of that kind. `keep_empty` keeps an empty text cell as '' instead of null.
     """
     reader = (
         spark.read.option("header", header)
@@ -73,7 +73,10 @@ def write_csv(df: DataFrame, path: str, line_sep: str = "\n", header: bool = Tru
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Newline-delimited JSON with a given schema."""
+    """JSON with a given schema, one object a line; of more on a line only the first is read.
+
+    `streams.read_json_objects` reads objects that follow each other in any way.
+    """
     return spark.read.schema(schema).json(path)
 
 
