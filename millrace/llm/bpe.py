@@ -23,13 +23,14 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import regex
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import mix64, table
+from millrace.llm.common import mix64, shared, table
 
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000  # some 120 bytes each, as long ones are not remembered
 _LOAD = 4  # mean keys per displacement bucket
 _WHOLE = 32  # pre-tokens longer than this are not remembered
 
@@ -195,11 +196,15 @@ def load_codec(path: str, pattern: str = public_tokenizers.PATTERN) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
-def _mapped(df: DataFrame, text: str, codec: Codec, fields: list[T.StructField], row, keep) -> DataFrame:
-    """The columns `keep` of `df`, then what `row(codec, ids of a text)` gives as `fields`."""
+def _codec(spark: SparkSession, path: str) -> Broadcast:
+    return shared(spark, ("bpe", path), lambda: load_codec(path))
+
+
+def _mapped(df: DataFrame, text: str, path: str, fields: list[T.StructField], row, keep) -> DataFrame:
+    """The columns `keep` of `df`, then what `row(codec, ids of a text)` gives as `fields`, with the vocabulary at `path`."""
     names = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
-    held = df.sparkSession.sparkContext.broadcast(codec)
+    held = _codec(df.sparkSession, path)
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], *fields])
 
@@ -225,7 +230,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
     `token_ids` in `df` is replaced.
     """
     fields = [T.StructField("token_ids", _IDS)]
-    return _mapped(df, text, load_codec(path), fields, lambda _, ids: (np.frombuffer(ids, "<u4").astype(np.int32),), keep)
+    return _mapped(df, text, path, fields, lambda _, ids: (np.frombuffer(ids, "<u4").astype(np.int32),), keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:
@@ -233,7 +238,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", name: str = "decode
 
     Bytes, not text: a cut through ids can leave a partial character. An id outside the vocabulary raises.
     """
-    held = df.sparkSession.sparkContext.broadcast(load_codec(path))
+    held = _codec(df.sparkSession, path)
     kept = [c for c in df.columns if c.lower() != name.lower()]
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(ids).alias("__ids"))
 
@@ -257,7 +262,7 @@ def digests(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] |
     def row(codec: Codec, ids: bytes):
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
 
-    return _mapped(df, text, load_codec(path), fields, row, keep)
+    return _mapped(df, text, path, fields, row, keep)
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

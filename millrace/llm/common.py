@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+_SHARED: dict[tuple, Broadcast] = {}
+
+
+def shared(spark: SparkSession, key: tuple, make: Callable[[], object]) -> Broadcast:
+    """The broadcast of a value that is the same in every query, such as a vocabulary; one per application.
+
+    Python workers are used again and keep each broadcast they have met, with what its object remembers.
+    """
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _SHARED if k[0] != app]:
+        del _SHARED[old]
+    if (app, *key) not in _SHARED:
+        _SHARED[(app, *key)] = spark.sparkContext.broadcast(make())
+    return _SHARED[(app, *key)]
+
+
 def free_name(df: DataFrame, label: str) -> str:
     """A column name that `df` does not have, so that added columns clash with none."""
     taken = {c.lower() for c in df.columns}

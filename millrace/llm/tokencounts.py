@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import table, text_chunks
+from millrace.llm.common import shared, table, text_chunks
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 LIMIT = 1024
@@ -266,7 +266,7 @@ def load_counter(path: str, pattern: str = public_tokenizers.PATTERN) -> PrefixC
 def _mapped(df: DataFrame, text: str, path: str, fields: list[T.StructField], row, keep: Sequence[str] | None) -> DataFrame:
     names = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
-    held = df.sparkSession.sparkContext.broadcast(load_counter(path))
+    held = shared(df.sparkSession, ("tokencounts", path), lambda: load_counter(path))
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], *fields])
 

@@ -5,8 +5,9 @@ Reading plans one partition per group of files, packed by size; the writer start
 header columns are pushed down, and the content of a record that fails one, or whose payload the schema does not ask
 for, is skipped without being decoded.
 
-A write is committed by a manifest of the files of the tasks that succeeded; files of lost or repeated tasks are not
-in it and are never read. Files are reached through pyarrow's file systems, so a path can be any URI these know.
+A write is committed by a manifest of its own, of the files of the tasks that succeeded; files of lost or repeated tasks
+are in none and are never read. So a folder can be appended to, also by several writers at once, and may hold archives
+that others wrote. Files are reached through pyarrow's file systems, so a path can be any URI these know.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ from millrace.session import materialize, scratch_path
 
 VERSION = "WARC/1.1"
 MANIFEST = "_manifest"
+_OWN = "millrace-"
 MAX_FILE_BYTES = 64 << 20
 PARTITION_BYTES = 128 << 20
 MIN_REVISIT_BYTES = 100
@@ -155,13 +157,14 @@ class WarcReader(DataSourceReader):
         """Whole files in groups of about `partition_bytes`; a larger file is alone."""
         system, folder = _open(self.path)
         files = [f for f in system.get_file_info(pafs.FileSelector(folder)) if f.is_file]
-        listed = next((f for f in files if f.base_name == MANIFEST), None)
-        if listed:
-            with system.open_input_stream(listed.path) as stream:
-                names = set(json.loads(stream.read()))
-            files = [f for f in files if f.base_name in names]
-        else:
-            files = [f for f in files if f.base_name.endswith((".warc", ".warc.gz"))]
+        manifests = [f for f in files if f.base_name.startswith(MANIFEST)]
+        files = [f for f in files if f.base_name.endswith((".warc", ".warc.gz"))]
+        if manifests:
+            committed: set[str] = set()
+            for listed in manifests:
+                with system.open_input_stream(listed.path) as stream:
+                    committed.update(json.loads(stream.read()))
+            files = [f for f in files if f.base_name in committed]
         groups, size = [], self.most + 1
         for f in sorted(files, key=lambda f: f.base_name):
             if size + f.size > self.most:
@@ -255,7 +258,7 @@ class WarcWriter(DataSourceArrowWriter):
             for batch in iterator:
                 for row in batch.to_pylist():
                     if stream is None:
-                        names.append(f"{uuid.uuid4().hex}.warc{'.gz' if self.gzip else ''}")
+                        names.append(f"{_OWN}{uuid.uuid4().hex}.warc{'.gz' if self.gzip else ''}")
                         stream, size = system.open_output_stream(f"{folder}/{names[-1]}", compression=None), 0
                     data = record_bytes(row)
                     data = gzip.compress(data, 1, mtime=0) if self.gzip else data
@@ -270,10 +273,18 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(tuple(names))
 
     def commit(self, messages) -> None:
+        """Each write has a manifest of its own, so that writers, one after the other or at once, add to a folder.
+
+        The first one also lists the archives that others had put there.
+        """
         system, folder = _open(self.path)
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{MANIFEST}") as stream:
-            stream.write(json.dumps([n for m in messages if m for n in m.paths]).encode())
+        names = [n for m in messages if m for n in m.paths]
+        there = [f.base_name for f in system.get_file_info(pafs.FileSelector(folder)) if f.is_file]
+        if not any(n.startswith(MANIFEST) for n in there):
+            names += [n for n in there if n.endswith((".warc", ".warc.gz")) and not n.startswith(_OWN)]
+        with system.open_output_stream(f"{folder}/{MANIFEST}-{uuid.uuid4().hex}") as stream:
+            stream.write(json.dumps(names).encode())
 
     def abort(self, messages) -> None:
         system, folder = _open(self.path)
@@ -296,7 +307,7 @@ class WarcDataSource(DataSource):
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
         if overwrite:
-            raise ValueError("a WARC folder is written once; use append on a new folder")
+            raise ValueError("WARC files are never replaced; append, or write to a new folder")
         return WarcWriter(dict(self.options))
 
 

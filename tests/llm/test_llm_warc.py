@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -65,8 +66,12 @@ def test_predicates_are_pushed_down(spark, archive):
     assert len(left) == 1 and reader.tests == [("warc-type", "=", "revisit")]
 
 
+def committed(folder):
+    return [n for p in Path(folder).glob(f"{warc.MANIFEST}*") for n in json.loads(p.read_text())]
+
+
 def test_only_committed_files_are_read(spark, archive):
-    names = json.loads(Path(archive, warc.MANIFEST).read_text())
+    names = committed(archive)
     assert len(names) > 3 and {p.name for p in Path(archive).glob("*.warc*")} == set(names)
     lost = Path(archive, "0-lost.warc")
     lost.write_bytes(b"not a record")
@@ -76,7 +81,7 @@ def test_only_committed_files_are_read(spark, archive):
 
 def test_records_are_plain_warc(spark, archive):
     """Every record has the headers it needs and a block of the stated length."""
-    name = json.loads(Path(archive, warc.MANIFEST).read_text())[0]
+    name = committed(archive)[0]
     data = Path(archive, name).read_bytes()
     data = gzip.decompress(data) if name.endswith(".gz") else data
     while data:
@@ -103,6 +108,25 @@ def test_foreign_records(spark):
         warc.read_warc(spark, str(folder)).collect()
 
 
+def test_appends_add_up(spark):
+    """Two writes one after the other, two at once, and archives of others before the first."""
+    warc.register(spark)
+    path = scratch_path(spark, "appended")
+    Path(path).mkdir(parents=True)
+    (Path(path) / "theirs.warc").write_bytes(b"WARC/1.0\nWARC-Type: warcinfo\nContent-Type: a/b\nContent-Length: 1\n\nx\n\n")
+
+    def write(page):
+        warc.records_of(pages(spark, [(page, "u", f"page {page}")])).write.format("warc").mode("append").save(path)
+
+    write(1)
+    write(2)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, (3, 4)))
+    rows = warc.read_warc(spark, path).collect()
+    expected = [None, *(f"<urn:page:{n}>" for n in (1, 2, 3, 4))]
+    assert sorted((r["record_id"] for r in rows), key=str) == sorted(expected, key=str)
+
+
 def test_empty_table(spark):
     warc.register(spark)
     path = scratch_path(spark, "warc")
