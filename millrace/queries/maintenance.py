@@ -22,6 +22,7 @@ from millrace.plans.ingest import (
 from millrace.plans.objects import load_object
 from millrace.queries.support import Tables, key_table, query
 from millrace.session import scratch_path, scratch_schema
+from millrace.sinks.snapshots import land_snapshot, pin, tables_of
 from millrace.sinks.tables import append_table, ensure_table, land_tables as land_of
 from millrace.sources.documents import fetch_documents
 from millrace.streaming.ingest import (
@@ -186,6 +187,29 @@ def land_tables(t: Tables):
     )
 
 
+@query("""
+    select 'customer' as name, c_custkey as key, c_name as label from customer
+    union all select 'orders', o_orderkey, o_orderpriority from orders
+    union all select 'supplier', s_suppkey, s_name from supplier
+""")
+def pinned_snapshot(t: Tables):
+    """A schema lands as it was when it was pinned, though two of its tables grow before they are read."""
+    source, target = scratch_schema(t.spark, "source"), scratch_schema(t.spark, "pinned")
+    rows = {
+        "customer": t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("label")),
+        "orders": t.orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("label")),
+        "supplier": t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("label")),
+    }
+    for name, df in rows.items():
+        df.write.saveAsTable(f"{source}.{name}")
+    manifest = pin(t.spark, source, tables_of(t.spark, source))
+    for name in ("orders", "supplier"):
+        rows[name].withColumn("label", F.lit("late")).write.insertInto(f"{source}.{name}")
+    land_snapshot(t.spark, source, target, as_fields=False, manifest=manifest)
+    landed = [t.spark.table(f"{target}.{name}").select(F.lit(name).alias("name"), "key", "label") for name in rows]
+    return landed[0].union(landed[1]).union(landed[2])
+
+
 @query("""
     select s_suppkey, s_name from supplier
     union all select s_suppkey, s_name from supplier
