@@ -2,7 +2,8 @@
 
 The tables are found in the catalog. Before the first is read, a manifest notes the data files of all of them, with size
 and time. Each table is then read from exactly these files, so rows that arrive later are not in its copy, whenever its turn
-comes. If a pinned file was replaced or is gone, that table is reported and its last copy stays.
+comes. If a pinned file was replaced or is gone, that table is reported and its last copy stays. Files are noted table by
+table, so writers that must be seen together have to be still for that short while.
 """
 
 from __future__ import annotations
