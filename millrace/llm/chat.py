@@ -97,8 +97,8 @@ def _errors(schemas: Mapping[str, Schema]) -> Column:
 def _settled(table: pa.Table) -> pa.Table:
     """(row, at, level, cyclic) for the ends of a conversation's links, as rounds without end would place them.
 
-    An event ends at the latest turn that its needs reach. Only needs that end at the same turn can move it there; an
-    event that peeling along those leaves over waits for itself or for a cycle.
+    An event ends at the latest turn that its needs reach. Only needs that end at the same turn can move it there;
+    peeling along those gives the levels in one pass, and an event that it leaves over waits for itself or for a cycle.
     """
     ends = {c: table.column(c).to_numpy() for c in ("row", "at", "part", "needs", "first_at", "first_part")}
     ids, first = np.unique(np.concatenate((ends["row"], ends["needs"])), return_index=True)
@@ -126,44 +126,28 @@ def _settled(table: pa.Table) -> pa.Table:
     own, need = own[binds], need[binds]
 
     pending = np.bincount(own, minlength=len(ids)).tolist()
+    level = [0] * len(ids)
     free = [v for v, n in enumerate(pending) if not n]
     while free:
         v = free.pop()
         for u in waiting[v]:
             if end[u] == end[v]:
+                level[u] = max(level[u], level[v] + (u <= v))
                 pending[u] -= 1
                 if not pending[u]:
                     free.append(u)
     cyclic = np.array(pending) > 0
-
-    finite = ~cyclic[own] & ~cyclic[need]
-    by_own = np.argsort(own[finite], kind="stable")
-    own, need = own[finite][by_own], need[finite][by_own]
-    turns, turn = np.unique(start, return_inverse=True)
-    # Turn and level in one number: a level is below the number of events.
-    place = turn * (len(ids) + 1)
-    changed = np.ones(len(ids), bool)
-    while True:
-        near = np.flatnonzero(changed[own] | changed[need])
-        u, v = own[near], need[near]
-        behind = (place[u] < place[v]) | ((place[u] == place[v]) & (u <= v))
-        u, v = u[behind], v[behind]
-        if not len(u):
-            break
-        begin = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
-        changed[:] = False
-        changed[u[begin]] = True
-        place[u[begin]] = np.maximum.reduceat(place[v], begin) + 1
-    at, level = turns[place // (len(ids) + 1)], place % (len(ids) + 1)
-    return pa.table({"row": ids, "at": np.where(cyclic, start, at), "level": np.where(cyclic, 0, level).astype(np.int32), "cyclic": cyclic})
+    level = np.where(cyclic, 0, level).astype(np.int32)
+    return pa.table({"row": ids, "at": np.where(cyclic, start, end), "level": level, "cyclic": cyclic})
 
 
 def _ordered(events: DataFrame, edges: DataFrame) -> DataFrame:
     """(row, at, level, cyclic): an event comes behind the events it needs, else at its turn.
 
-    `edges`: (conv, row, needs). Only events whose need stands behind them are moved, to one level behind it, until
-    none moves. An event that would move for ever, as it waits for itself or for such an event, is cyclic: its order
-    fails, and it keeps its turn.
+    `edges`: (conv, row, needs), `conv` never null. An event stands at the turn and level of the last that it needs;
+    one level behind it if turn, part and row alone would put it first. Events are moved there until none moves, which
+    gives the same places in any order of moves. An event that would move for ever, as it waits for itself or for such
+    an event, is cyclic: its order fails, and it keeps its turn.
     """
     start = F.coalesce("turn", F.lit(-1))
     places = events.select("row", start.alias("at"), F.lit(0).alias("level"), start.alias("turn"), "part")
@@ -178,8 +162,10 @@ def _ordered(events: DataFrame, edges: DataFrame) -> DataFrame:
         met = join_unique(edges, key, ["row"], "inner").withColumnRenamed("key", "own")
         need = key.select(F.col("row").alias("needs"), F.col("key").alias("first"))
         met = join_unique(met, need, ["needs"], "inner").where(F.col("own") <= F.col("first"))
-        step = met.groupBy("row").agg(F.max(F.struct("first.at", "first.level")).alias("behind"), F.first("conv").alias("conv"))
-        step = step.select("row", F.col("behind.at").alias("new_at"), (F.col("behind.level") + 1).alias("new_level"), "conv")
+        tie = [F.struct(*[F.col(f"{side}.{c}") for c in ("turn", "part", "row")]) for side in ("own", "first")]
+        level = F.col("first.level") + F.when(tie[0] <= tie[1], 1).otherwise(0)
+        step = met.groupBy("row").agg(F.max(F.struct("first.at", level.alias("level"))).alias("behind"), F.first("conv").alias("conv"))
+        step = step.select("row", F.col("behind.at").alias("new_at"), F.col("behind.level").alias("new_level"), "conv")
         step = materialize(step, "moved")
         if step.isEmpty():
             return here.select("row", "at", "level", F.lit(False).alias("cyclic"))
@@ -217,7 +203,7 @@ def format_chat(
     linked: a call has a result, a result has a call; null for plain messages. A call whose identifier an earlier
     call of the conversation has is not linked, nor are events without one. valid: linked and without errors (for a
     result: linked); null for plain messages. Events of equal place are ordered by part, then content. Conversations
-    with a null id are one conversation. Extra columns of `df` are not read; an empty table gives no rows.
+    with a null id are one conversation, whose calls and results are linked like those of any other. Extra columns of `df` are not read; an empty table gives no rows.
     """
     events = events_of(df, conv, turn, role, text).withColumn("errors", _errors(schemas))
     shown = F.to_json(F.struct(
@@ -226,11 +212,13 @@ def format_chat(
     events = events.withColumn("json", shown).drop("arguments", "content", "name", "role")
     events = materialize(events.withColumn("row", F.monotonically_increasing_id()), "events")
 
-    named = events.where(F.col("call_id").isNotNull())
+    # A key that is never null, so that the events without a conversation meet as well.
+    talk = F.coalesce(F.concat(F.lit("="), F.col("conv").cast("string")), F.lit(""))
+    named = events.where(F.col("call_id").isNotNull()).withColumn("conv", talk)
     calls = named.where(F.col("kind") == "call")
     first = calls.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "part", "row")).alias("first"))
     first = first.select("conv", "call_id", F.col("first.row").alias("needs"))
-    results = named.where((F.col("kind") == "result") & F.col("conv").isNotNull()).select("conv", "call_id", "row")
+    results = named.where(F.col("kind") == "result").select("conv", "call_id", "row")
     links = materialize(join_unique(results, first, ["conv", "call_id"], "inner").select("conv", "row", "needs"), "links")
     after = calls.select("row", "conv", F.explode(F.array_distinct("after")).alias("call_id"))
     needed = join_unique(after, first, ["conv", "call_id"], "inner").select("conv", "row", "needs")

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -129,7 +130,7 @@ def test_settled_as_rounds_do():
             step = {}
             for u, v in links:
                 if key[u] <= key[v]:
-                    step[u] = max(step.get(u, (0, 0)), (at[v][0], at[v][1] + 1))
+                    step[u] = max(step.get(u, (0, 0)), (at[v][0], at[v][1] + ((*start[u], u) <= (*start[v], v))))
             at.update(step)
         want = {i: (start[i][0], 0, True) if at[i][1] > 100 else (*at[i], False) for pair in links for i in pair}
         columns = [(u, *start[u], v, *start[v]) for u, v in links]
@@ -137,6 +138,24 @@ def test_settled_as_rounds_do():
         assert {r["row"]: (r["at"], r["level"], r["cyclic"]) for r in chat._settled(table).to_pylist()} == want
 
 
+def test_long_chain_is_settled_in_one_pass():
+    n = 200_000
+    own, need = list(range(n)), list(range(1, n + 1))
+    table = pa.table({"row": own, "at": [0] * n, "part": own, "needs": need, "first_at": [0] * n, "first_part": need})
+    begun = time.perf_counter()
+    settled = chat._settled(table)
+    assert settled.column("level").to_pylist() == list(range(n, -1, -1))
+    assert time.perf_counter() - begun < 20  # by rounds it would be 20,000 million steps
+
+
+def test_conversation_without_id(spark):
+    rows = [(None, 1, "assistant", call(("x", "none", {}))), (None, 0, "tool", answer("x")), (None, 2, "user", "u"), (7, 0, "tool", answer("x"))]
+    got = formatted(spark, rows)
+    assert [(r["conv_id"], r["kind"], r["linked"], r["position"]) for r in got] == [
+        (7, "result", False, 0), (None, "call", True, 0), (None, "result", True, 1), (None, "message", None, 2),
+    ]
+
+
 def test_large_conversation_is_split(spark):
     rows = spark.range(2000).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "'t' as text")
     out = chat.format_chat(chat.as_tool_calls(rows), chat.REPLY)
