@@ -248,13 +248,34 @@ def format_chat(
 REPLY = {"reply": {"properties": {"prompt": "string", "turn": "integer"}, "required": ["prompt", "turn"]}}
 
 
-def as_tool_calls(conversations: DataFrame) -> DataFrame:
-    """Turns as tool use: a user turn calls `reply` and needs the last user turn; the assistant's turn answers it."""
+# Faults of the registered query, by (31 * conv_id + turn) modulo 12 of a call; other remainders make sound calls.
+NO_PROMPT, TEXT_TURN, EXTRA, OTHER_TOOL, TAKEN_ID, NEEDS_ITSELF, NEEDS_NEXT, SOUND, AFTER_NEXT, NEEDS_EACH_OTHER = range(10)
+
+
+def as_tool_calls(conversations: DataFrame, faults: bool = False) -> DataFrame:
+    """Turns as tool use: a user turn calls `reply` and needs the last user turn; the assistant's turn answers it.
+
+    With `faults`, calls are spoilt by a rule on their key: arguments that are missing, of a wrong type or unknown, an
+    unknown tool, the identifier of the call before, needs of itself, of a later call, and of a later call that needs
+    this one.
+    """
     key = "concat(conv_id, ':', turn{})"
+    own, last, following = key.format(""), key.format(" - 2"), key.format(" + 2")
+    kind = "pmod(31 * conv_id + turn, 12)" if faults else str(SOUND)
+    arguments = (
+        f"parse_json(case {kind} when {NO_PROMPT} then to_json(struct(turn as turn)) "
+        f"when {TEXT_TURN} then to_json(struct(text as prompt, string(turn) as turn)) "
+        f"when {EXTRA} then to_json(struct(1 as extra, text as prompt, turn as turn)) "
+        "else to_json(struct(text as prompt, turn as turn)) end)"
+    )
+    needs = (
+        f"case when {kind} = {NEEDS_ITSELF} then {own} when {kind} in ({NEEDS_NEXT}, {NEEDS_EACH_OTHER}) then {following} "
+        f"when {kind} <> {AFTER_NEXT} or {kind} is null then {last} end"
+    )
     call = (
-        "to_json(struct(array(struct(array({before}) as after, struct(text as prompt, turn as turn) as arguments, "
-        "{own} as id, 'reply' as name)) as tool_calls))"
-    ).format(before=key.format(" - 2"), own=key.format(""))
+        f"to_json(struct(array(struct(array({needs}) as after, {arguments} as arguments, "
+        f"if({kind} = {TAKEN_ID}, {last}, {own}) as id, if({kind} = {OTHER_TOOL}, 'other', 'reply') as name)) as tool_calls))"
+    )
     answer = f"to_json(struct(text as content, {key.format(' - 1')} as tool_call_id))"
     return conversations.selectExpr(
         "conv_id",
@@ -265,29 +286,57 @@ def as_tool_calls(conversations: DataFrame) -> DataFrame:
 
 
 def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
-    formatted = format_chat(as_tool_calls(table(spark, folder, "conversations")), REPLY)
+    formatted = format_chat(as_tool_calls(table(spark, folder, "conversations"), faults=True), REPLY)
     return formatted.withColumn("errors", F.array_join("errors", ";"))
 
 
 _SQL = """
-with events as (
-  select conv_id, turn, role, text,
-    case role when 'user' then 'call' when 'assistant' then 'result' else 'message' end as kind,
-    case role when 'user' then conv_id || ':' || turn when 'assistant' then conv_id || ':' || (turn - 1) end as call_id
+with turns as (
+  select conv_id, turn, role, text, case role when 'user' then 'call' when 'assistant' then 'result' else 'message' end as kind,
+    case when role = 'user' then ((31 * conv_id + turn) % 12 + 12) % 12 end as fault
   from conversations),
+events as (
+  select *, case kind when 'call' then conv_id || ':' || (turn - if(fault = 4, 2, 0))
+    when 'result' then conv_id || ':' || (turn - 1) end as call_id from turns),
+calls as (
+  select conv_id, call_id, min(turn) as turn, arg_min(fault, turn) as fault from events where kind = 'call' group by all),
+answers as (select distinct conv_id, call_id from events where kind = 'result'),
 linked as (
-  select e.*, exists (select 1 from events o where o.conv_id = e.conv_id and o.call_id = e.call_id
-    and o.kind <> e.kind and o.kind in ('call', 'result')) as met from events e)
+  select e.*,
+    case kind when 'call' then e.turn = c.turn and a.call_id is not null when 'result' then c.call_id is not null end as met,
+    case when kind = 'call' then e.fault = 5 or (e.fault = 4 and e.turn = c.turn) or (e.fault = 9 and n.call_id is not null)
+        or (e.fault = 11 and coalesce(l.fault = 9, false))
+      else coalesce(c.fault = 9 and n.call_id is not null, false) end as cyclic,
+    -- A call that needs the next one, or the result of such a call, stands behind that.
+    coalesce(if(kind = 'call', e.fault, c.fault) = 6 and n.call_id is not null, false) as moved,
+    n.turn as next_turn
+  from events e
+    left join calls c on c.conv_id = e.conv_id and c.call_id = e.call_id
+    left join answers a on a.conv_id = e.conv_id and a.call_id = e.call_id
+    left join calls n on n.conv_id = e.conv_id and n.call_id = e.conv_id || ':' || (if(kind = 'call', e.turn, c.turn) + 2)
+    left join calls l on l.conv_id = e.conv_id and l.call_id = e.conv_id || ':' || (e.turn - 2)),
+judged as (
+  select *, concat_ws(';',
+    case when fault = 2 then 'extra: unknown' end,
+    case when fault = 3 then 'unknown tool' when kind = 'call' and (fault = 0 or text is null) then 'prompt: missing' end,
+    case when fault = 1 then 'turn: not of type integer' end,
+    case when cyclic then 'order: waits for itself' end) as errors
+  from linked)
 select conv_id, turn, 0 as part, kind, call_id, case when kind <> 'message' then met end as linked,
-  case when kind <> 'message' then met and (kind = 'result' or text is not null) end as valid,
-  case when kind = 'call' and text is null then 'prompt: missing' else '' end as errors,
-  (row_number() over (partition by conv_id order by turn) - 1)::bigint as position,
-  case kind
-    when 'call' then to_json({'arguments': {'prompt': text, 'turn': turn}, 'call': call_id, 'conversation': conv_id, 'kind': kind,
+  case when kind <> 'message' then met and errors = '' end as valid, errors,
+  (row_number() over (partition by conv_id order by if(moved, next_turn, turn), moved, turn) - 1)::bigint as position,
+  case
+    when fault = 0 then to_json({'arguments': {'turn': turn}, 'call': call_id, 'conversation': conv_id, 'kind': kind,
       'name': 'reply', 'role': 'assistant', 'turn': turn})
-    when 'result' then to_json({'call': call_id, 'content': text, 'conversation': conv_id, 'kind': kind, 'role': 'tool', 'turn': turn})
+    when fault = 1 then to_json({'arguments': {'prompt': text, 'turn': turn::varchar}, 'call': call_id, 'conversation': conv_id,
+      'kind': kind, 'name': 'reply', 'role': 'assistant', 'turn': turn})
+    when fault = 2 then to_json({'arguments': {'extra': 1, 'prompt': text, 'turn': turn}, 'call': call_id, 'conversation': conv_id,
+      'kind': kind, 'name': 'reply', 'role': 'assistant', 'turn': turn})
+    when kind = 'call' then to_json({'arguments': {'prompt': text, 'turn': turn}, 'call': call_id, 'conversation': conv_id, 'kind': kind,
+      'name': if(fault = 3, 'other', 'reply'), 'role': 'assistant', 'turn': turn})
+    when kind = 'result' then to_json({'call': call_id, 'content': text, 'conversation': conv_id, 'kind': kind, 'role': 'tool', 'turn': turn})
     else to_json({'content': text, 'conversation': conv_id, 'kind': kind, 'role': role, 'turn': turn}) end::varchar as json
-from linked
+from judged
 """
 
 QUERIES = {"op10_tool_calls": op10_tool_calls}
