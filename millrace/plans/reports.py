@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from millrace.operators.upsert import delete_insert, swap_table
+from millrace.sinks.filetable import merge_files
 from millrace.sinks.tables import replace_table, restore_table
 from millrace.sources.reports import Report, flatten_report
 
@@ -21,3 +22,11 @@ def load_report(pages: DataFrame, report: Report, table: str, run_date: str, imp
         swap_table(delete_insert(spark.table(table), stage, report.keys), table)
     else:
         replace_table(stage, table)
+
+
+def load_report_files(pages: DataFrame, report: Report, path: str, run_date: str, import_ts: str) -> list[str]:
+    """Like `load_report`, into a table of files at `path`: only files that hold a key of the run are written again.
+
+    Returns the names of the files that the run replaced.
+    """
+    return merge_files(flatten_report(pages, report.columns, run_date, import_ts), path, report.keys)

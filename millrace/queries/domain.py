@@ -22,9 +22,10 @@ from millrace.plans.cashflow import (
 from millrace.plans.journal import journal_entries as entries_for
 from millrace.plans.journal import journal_lines as lines_of
 from millrace.plans.journal import tally
-from millrace.queries.support import Entity, Tables, query
-from millrace.plans.reports import load_report
+from millrace.plans.reports import load_report, load_report_files
+from millrace.queries.support import CHECKS, Entity, Tables, query
 from millrace.session import scratch_path, scratch_schema
+from millrace.sinks.filetable import merge_files, read_files_table
 from millrace.sinks.tables import append_table, ensure_table
 from millrace.sources.calls import RECORDINGS_SCHEMA, day_slices, explode_recordings, report_entries
 from millrace.sources.files import read_json
@@ -96,6 +97,36 @@ def report_upsert(t: Tables):
     return t.spark.table(table)
 
 
+@query(CHECKS["report_upsert"])
+def report_upsert_by_files(t: Tables):
+    """The same two runs into a table of files; the second run leaves files alone that hold none of its keys."""
+    report = Report(("dimension6", "eventAction"), ("sessions",), ("dimension6", "eventAction", "date"))
+    place = scratch_path(t.spark, "report-files")
+    early = t.events.where("ts < timestamp_ntz '2024-01-20'")
+    late = t.events.where("ts >= timestamp_ntz '2024-01-10'")
+    load_report_files(_pages(t, early), report, place, "2024-01-20", "first")
+    load_report_files(_pages(t, late), report, place, "2024-01-31", "second")
+    return read_files_table(t.spark, place)
+
+
+@query("""
+    select o_orderkey, o_custkey, case when o_orderkey % 40 = 0 and o_orderkey <= (select max(o_orderkey) // 4 from orders)
+        then 'changed' else o_orderpriority end as label from orders
+    union all
+    select -o_orderkey, o_custkey, 'added' from orders where o_orderkey % 40 = 2
+""")
+def merge_by_files(t: Tables):
+    """Orders in a table of files: a first load, changes in the lowest quarter of the keys, then new keys."""
+    place = scratch_path(t.spark, "order-files")
+    orders = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("label"))
+    top = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    changed = orders.where(f"o_orderkey % 40 = 0 and o_orderkey <= {top // 4}").withColumn("label", F.lit("changed"))
+    added = orders.where("o_orderkey % 40 = 2").withColumn("o_orderkey", -F.col("o_orderkey")).withColumn("label", F.lit("added"))
+    for stage in (orders, changed, added):
+        merge_files(stage, place, ["o_orderkey"])
+    return read_files_table(t.spark, place)
+
+
 @query("select cast(event_id + 1 as varchar) as next_page_token from events where event_type <> 'view'")
 def report_page_tokens(t: Tables):
     report = F.struct(
