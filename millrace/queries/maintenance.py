@@ -24,6 +24,7 @@ from millrace.queries.support import Tables, key_table, query
 from millrace.session import scratch_path, scratch_schema
 from millrace.sinks.snapshots import land_snapshot, pin, tables_of
 from millrace.sinks.tables import append_table, ensure_table, land_tables as land_of
+from millrace.sinks.versions import append_widening
 from millrace.sources.documents import fetch_documents
 from millrace.streaming.ingest import (
     append_new_keys,
@@ -223,6 +224,25 @@ def create_and_append(t: Tables):
     return t.spark.table(table)
 
 
+@query("""
+    select o_orderkey as id, case o_orderkey % 3 when 2 then 'c' || o_custkey else cast(o_custkey as varchar) end as code,
+      case o_orderkey % 3 when 2 then cast(o_totalprice as double) else cast(o_custkey as double) end as amount,
+      case o_orderkey % 3 when 2 then o_orderpriority end as note
+    from orders
+""")
+def widened_append(t: Tables):
+    """Three loads whose columns grow from whole numbers over long and decimal to text and double."""
+    table = f"{scratch_schema(t.spark, 'widened')}.orders"
+    loads = (
+        ("int(o_custkey) as code", "int(o_custkey) as amount"),
+        ("bigint(o_custkey) as code", "cast(o_custkey as decimal(12, 2)) as amount"),
+        ("concat('c', o_custkey) as code", "double(o_totalprice) as amount", "o_orderpriority as note"),
+    )
+    for i, columns in enumerate(loads):
+        append_widening(t.orders.where(F.col("o_orderkey") % 3 == i).selectExpr("o_orderkey as id", *columns), table)
+    return t.spark.table(table)
+
+
 def _bank_documents(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Landed document rows (owner = nation, path) and owners, both as VARIANT.
 
