@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from millrace.streaming.ingest import (
     run_available,
     tumbling_totals as totals_of,
 )
+from millrace.streaming.sets import arriving_names, ended_sets, load_sets
 
 
 def _sealed_customers(t: Tables) -> DataFrame:
@@ -399,3 +402,29 @@ def tumbling_totals(t: Tables):
         "events",
         F.col("total").cast("double").alias("total"),
     )
+
+
+@query("""
+    select o_orderkey // 5000 as batch, o_orderkey % 3 as part, o_orderkey, o_totalprice from orders
+    where (o_orderkey // 5000) % 4 <> 3
+""")
+def complete_set_ingest(t: Tables):
+    """Sets of three files each that arrive over two runs; every fourth set never gets its last file."""
+    inbox, data, late, checkpoint = (scratch_path(t.spark, n) for n in ("sets", "complete", "overdue", "checkpoint"))
+    orders = t.orders.select(
+        F.floor(F.col("o_orderkey") / 5000).alias("batch"), (F.col("o_orderkey") % 3).alias("part"), "o_orderkey", "o_totalprice"
+    )
+    first = (F.col("part") != 1) | (F.col("batch") % 4 == 0)
+
+    def read(spark, paths):
+        found = F.col("_metadata.file_path")
+        rows = spark.read.schema("o_orderkey long, o_totalprice double").parquet(*paths)
+        cells = [F.regexp_extract(found, f"{n}=(\\d+)/", 1).cast("long").alias(n) for n in ("batch", "part")]
+        return rows.select(*cells, "o_orderkey", "o_totalprice", F.regexp_extract(found, "batch=(\\d+)/", 1).alias("set"))
+
+    for run in (first, ~first & (F.col("batch") % 4 != 3)):
+        landed = orders.where(run).withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+        landed.repartition("batch", "part").write.mode("append").partitionBy("batch", "part").parquet(inbox)
+        names = arriving_names(t.spark, inbox, "batch=(\\d+)/part=(\\d+)/")
+        run_available(ended_sets(names, ["0", "1", "2"], dt.timedelta(days=7)), checkpoint, load_sets(read, data, late))
+    return t.spark.read.parquet(data).drop("set")
