@@ -45,7 +45,7 @@ _DIGIT = re.compile(r"[0-9]")
 # Looser forms of the kinds, for candidates.
 _LOOSE_EMAIL = re.compile(r"(?<![^\s@<>()\",;])[^\s@<>()\",;]++@[^\s@<>()\",;]++")
 _LOOSE_IP = re.compile(r"(?<![0-9.])[0-9]++(?:\.[0-9]++){3,5}")
-_LOOSE_NUMBER = re.compile(r"(?<![0-9])[0-9]++(?:[ ().-]{1,2}[0-9]++)*+")
+_LOOSE_NUMBER = re.compile(r"(?<![^\W_])[0-9]++(?:[ ().-]{1,2}[0-9]++)*+(?![^\W_])")
 _NUMBER_SIGNS = str.maketrans("", "", " ().-+")
 _EDGE = ".,;:!?\"'()[]{}<>|"
 # A longer word is known by as many characters next to the place, and no context reaches beyond it.
@@ -102,26 +102,36 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _apart(spans: Sequence[tuple[int, int, int]], others: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans (kind, begin, end), in order of their begin, that meet none of `others`."""
+    taken = sorted((b, e) for _, b, e in others)
+    free, i = [], 0
+    for kind, begin, end in spans:
+        while i < len(taken) and taken[i][1] <= begin:
+            i += 1
+        if i == len(taken) or taken[i][0] >= end:
+            free.append((kind, begin, end))
+    return free
+
+
 def loose_spans(text: str, known: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates: looser forms of the kinds that meet no base span."""
+    """Candidates: looser forms of the kinds that meet no base span. Of forms that meet, the address counts before the number.
+
+    Digits next to a letter are no number: they belong to a word or to a secret in hex.
+    """
     found = []
     if "@" in text:
-        found += [(0, *m.span()) for m in _LOOSE_EMAIL.finditer(text)]
+        found = [(0, *m.span()) for m in _LOOSE_EMAIL.finditer(text)]
     if _DIGIT.search(text):
-        found += [(1, *m.span()) for m in _LOOSE_IP.finditer(text)]
+        found += _apart([(1, *m.span()) for m in _LOOSE_IP.finditer(text)], found)
+        numbers = []
         for m in _LOOSE_NUMBER.finditer(text):
             n = len(m.group().translate(_NUMBER_SIGNS))
             if 7 <= n <= 19:
-                found.append((3 if n < 13 else 2, *m.span()))
+                numbers.append((3 if n < 13 else 2, *m.span()))
+        found += _apart(numbers, found)
     found.sort(key=lambda s: s[1])
-    taken = sorted((b, e) for _, b, e in known)
-    free, i = [], 0
-    for kind, begin, end in found:
-        while i < len(taken) and taken[i][1] <= begin:
-            i += 1
-        if i == len(taken) or taken[i][0] >= end:
-            free.append((kind, begin, end))
-    return free
+    return _apart(found, known)
 
 
 def _words_beside(text: str, at: int, step: int, n: int) -> list[str]:

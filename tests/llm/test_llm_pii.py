@@ -113,6 +113,16 @@ def test_contexts_of_whole_words_in_any_distance():
     assert max(len(p) for s in pii.loose_spans(glued, []) for p in pii.patterns_at(glued, *s[1:])) < 200
 
 
+def test_digits_of_a_secret_are_no_number():
+    text = 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" 63815530x x63815530 63815531é é63815532 (63815533)'
+    assert [(k, text[a:b]) for k, a, b in pii.loose_spans(text, [])] == [(3, "63815533")]
+
+
+def test_a_place_has_one_kind():
+    text = "call 555 123 4567 or 1.2.3.4.567 or me@10.20.30.40"
+    assert [(k, text[a:b]) for k, a, b in pii.loose_spans(text, [])] == [(3, "555 123 4567"), (1, "1.2.3.4.567"), (0, "me@10.20.30.40")]
+
+
 def test_loose_addresses_are_whole():
     local, domain = "é" * 100, "host" * 30
     text = f"to {local}@{domain}, a@b@c"
