@@ -6,6 +6,8 @@ follow on both sides (position filter). Every order here puts tokens first that
 
 1. Tokens are dealt by hash; each task counts in how many sets its tokens occur. Tokens of one set can match
    nothing, and a set where these leave fewer than ceil(s n) tokens has no partner. Only the other sets go on.
+   Hot tokens, found beforehand by frequency summaries of all tasks, are not dealt by hash but with their sets: any
+   other token has at most half of what a task holds on average.
 2. Rounds of leaders: under the first order, each set is compared with the drawn leaders of the token blocks that it
    meets most often. Found links form components, so a large group of near copies needs no pair inside it.
 3. The first step is repeated with components in place of sets: tokens that occur in one component only cannot
@@ -20,10 +22,13 @@ their partition and 40 more bits.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +42,13 @@ WORDS = 5
 SHARED, OF = 75, 100
 ORDERS = 3
 LEADER_ROUNDS = 1
+# Entries of a frequency summary, and so at most as many hot tokens, per part that tokens are dealt to.
+ROOM = 4
 DRAWS = 8
 BITS = 512
 _CHUNK = 1 << 19
 _TOKEN_BYTES = 5
+_LOW = np.uint64((1 << 8 * _TOKEN_BYTES) - 1)
 _U = np.uint64
 
 _SEPARATOR = np.zeros(256, bool)
@@ -104,37 +112,133 @@ def _names(sets: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
-def classes_of(df: DataFrame, key: str, text: str, words: int, keep: Sequence[str] = ()) -> DataFrame:
+class _Summary:
+    """Misra-Gries counts of tokens: at most `room`, each too small by at most the number of all over `room`."""
+
+    def __init__(self, room: int):
+        self.room, self.total = room, 0
+        self.tokens, self.times = np.zeros(0, _U), np.zeros(0, np.int64)
+
+    def add(self, tokens: np.ndarray) -> None:
+        self.total += len(tokens)
+        fresh, times = np.unique(tokens, return_counts=True)
+        every, at = np.unique(np.concatenate((self.tokens, fresh)), return_inverse=True)
+        sums = np.zeros(len(every), np.int64)
+        np.add.at(sums, at, np.concatenate((self.times, times)))
+        if len(every) > self.room:
+            sums -= np.partition(sums, -self.room - 1)[-self.room - 1]
+        self.tokens, self.times = every[sums > 0], sums[sums > 0]
+
+
+def classes_of(df: DataFrame, key: str, text: str, words: int, keep: Sequence[str] = (), room: int = 0) -> DataFrame:
     """(key, n_shingles, hi, lo): rows with equal sets have equal (hi, lo). A row without shingles is named by its key.
 
-    The columns `keep` of `df` follow as c0, c1 and so on.
+    The columns `keep` of `df` follow as c0, c1 and so on. With `room`, columns `token` and `times` follow instead:
+    null in the rows so far, and filled in further rows with a frequency summary of each task's different sets; there
+    a null token has the number of all.
     """
     kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *kept)
+    long = T.LongType()
+    added = [T.StructField(c, long) for c in ("n_shingles", "hi", "lo")]
+    more = [T.StructField(c, long) for c in ("token", "times")] if room else rows.schema.fields[2:]
+    schema = T.StructType([rows.schema.fields[0], *added, *more])
 
     def run(batches):
+        met, summary = set(), _Summary(room)
         for batch in batches:
             for start, texts in text_chunks(batch.column(1), _CHUNK):
                 sets, stop = shingle_sets(texts, words)
                 name = _names(sets, stop)
                 cut = batch.slice(start, len(texts)).columns
-                made = [pa.array(c) for c in (np.diff(stop, prepend=0), name[:, 0], name[:, 1])]
-                yield pa.RecordBatch.from_arrays([cut[0], *made, *cut[2:]], ["key", "n_shingles", "hi", "lo", *batch.schema.names[2:]])
+                size = np.diff(stop, prepend=0)
+                made = [cut[0], *map(pa.array, (size, name[:, 0], name[:, 1])), *cut[2:]]
+                if room:
+                    summary.add(sets[np.repeat(_unmet(name, met), size)])
+                    made += [pa.nulls(len(texts), pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays(made, schema.names)
+        if summary.total:
+            n = len(summary.tokens) + 1
+            told = [pa.array([None, *summary.tokens.view(np.int64).tolist()], pa.int64()),
+                    pa.array([summary.total, *summary.times.tolist()], pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64())] * 4 + told, schema.names)
 
     empty = F.col("n_shingles") == 0
-    added = [T.StructField(c, T.LongType()) for c in ("n_shingles", "hi", "lo")]
-    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], *added, *rows.schema.fields[2:]])).select(
+    return rows.mapInArrow(run, schema).select(
         "key",
         "n_shingles",
         F.when(empty, F.coalesce("key", F.lit(-1))).otherwise(F.col("hi")).alias("hi"),
         F.when(empty, F.lit(0)).otherwise(F.col("lo")).alias("lo"),
-        *[f"c{i}" for i in range(len(keep))],
+        *[f.name for f in more],
     )
 
 
+def _unmet(names: np.ndarray, met: set) -> np.ndarray:
+    """Which of the names are not in `met`; they are put there."""
+    new = np.zeros(len(names), bool)
+    for i, pair in enumerate(map(tuple, names.tolist())):
+        if pair not in met:
+            met.add(pair)
+            new[i] = True
+    return new
+
+
+@dataclass
+class Hot:
+    """Keys of hot tokens, sorted, and their frequency classes. Tokens that are not `live` can match nothing."""
+
+    keys: np.ndarray
+    classes: np.ndarray
+    live: np.ndarray
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key that is hot, else -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1).astype(np.int32)
+
+
+def _parts(spark: SparkSession) -> int:
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 20)
+
+
+def _class_of(times: np.ndarray) -> np.ndarray:
+    return np.minimum(255, 8 * np.log2(np.maximum(times, 1))).astype(np.uint8)
+
+
+def _key_of(tokens: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part that each token is dealt to, and its key: that part and the low bytes of its hash."""
+    part = ((tokens >> _U(40)) * _U(parts)) >> _U(24)
+    return part.astype(np.int32), (tokens & _LOW) | (part << _U(8 * _TOKEN_BYTES))
+
+
+def _classes_and_hot(df: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, Hot]:
+    """The classes of `df`, as a table, and the tokens that have more than a fair share of all occurrences.
+
+    Summaries of `room` entries miss at most a `room`-th of all occurrences of a token. Tokens with a `room`-th left are
+    hot, at most `room` of them; each other one has less than two `room`-ths, half of a part.
+    """
+    parts = _parts(df.sparkSession)
+    room = ROOM * parts
+    rows = materialize(classes_of(df, key, text, words, room=room), "classes")
+    told = rows.where(F.col("times").isNotNull())
+    total = told.where(F.col("token").isNull()).agg(F.sum("times")).first()[0] or 0
+    sums = told.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("times").alias("times"))
+    found = sums.where(F.col("times") * room >= total).collect() if total else []
+    keys = _key_of(np.array([r["token"] for r in found], np.int64).view(_U), parts)[1]
+    order = np.lexsort((-np.array([r["times"] for r in found], np.int64), keys))
+    order = order[_runs(keys[order])] if len(order) else order
+    classes = _class_of(np.array([r["times"] for r in found], np.int64))
+    base = rows.where(F.col("times").isNull()).drop("token", "times")
+    return base, Hot(keys[order], classes[order], np.ones(len(order), bool))
+
+
 # A class in a packed row: its name, its number of shingles, and how many of the row's tokens are its own.
 _OWNER = np.dtype([("hi", "<i8"), ("lo", "<i8"), ("n", "<i4"), ("count", "<i4")])
-_PACKED = "part int, owners binary, tokens binary"
+# Tokens are low bytes of hashes, dealt to their part; hot ones are numbers in the list, dealt to the bucket of their set.
+_PACKED = "part int, hot boolean, owners binary, tokens binary"
+_HOT_BYTES = 4
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -146,7 +250,7 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
-def _packed_rows(part: np.ndarray, owner: np.ndarray, names: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
+def _packed_rows(part: np.ndarray, owner: np.ndarray, names: np.ndarray, tokens: np.ndarray, hot: bool = False) -> pa.RecordBatch:
     """One row per part, from tokens that are sorted by part and owner. `names` has an _OWNER for each owner."""
     begin = _runs(part, owner)
     owners = names[owner[begin]]
@@ -156,30 +260,63 @@ def _packed_rows(part: np.ndarray, owner: np.ndarray, names: np.ndarray, tokens:
     rows = list(zip(cut[:-1], cut[1:], strict=True))
     return pa.RecordBatch.from_arrays(
         [pa.array([part[begin[a]] for a, _ in rows], pa.int32()),
+         pa.array([hot] * len(rows), pa.bool_()),
          pa.array([owners[a:b].tobytes() for a, b in rows], pa.binary()),
          pa.array([tokens[edge[a] : edge[b]].tobytes() for a, b in rows], pa.binary())],
-        ["part", "owners", "tokens"],
+        ["part", "hot", "owners", "tokens"],
     )
 
 
+def _dealt_rows(key: np.ndarray, part: np.ndarray, owner: np.ndarray, names: np.ndarray, parts: int, hot: Hot):
+    """Tokens of sets, in the order of their owners, as packed rows: one batch of hot ones, one of the others."""
+    number = hot.find(key)
+    cold = number < 0
+    if cold.any():
+        order = np.flatnonzero(cold)[np.argsort(part[cold], kind="stable")]
+        low = key[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
+        yield _packed_rows(part[order], owner[order], names, low)
+    live = np.flatnonzero(~cold)
+    live = live[hot.live[number[live]]]
+    if len(live):
+        bucket = _bucket(names[owner[live]], parts)
+        order = np.argsort(bucket, kind="stable")
+        raw = number[live][order].astype("<i4").view(np.uint8).reshape(-1, _HOT_BYTES)
+        yield _packed_rows(bucket[order], owner[live][order], names, raw, hot=True)
+
+
+def _bucket(owners: np.ndarray, buckets: int) -> np.ndarray:
+    return (owners["hi"].astype(_U) % _U(buckets)).astype(np.int32)
+
+
 def _unpacked(held: list[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of packed rows: the part of each owner, the owners, and the tokens as bytes of `width`."""
     parts, owners, tokens = [], [], []
     for batch in held:
-        for part, own, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for part, own, raw in zip(*(batch.column(c).to_pylist() for c in ("part", "owners", "tokens")), strict=True):
             owners.append(np.frombuffer(own, _OWNER))
             parts.append(np.full(len(owners[-1]), part, np.int64))
             tokens.append(np.frombuffer(raw, np.uint8))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, _OWNER), np.zeros((0, width), np.uint8)
     return np.concatenate(parts), np.concatenate(owners), np.concatenate(tokens).reshape(-1, width)
 
 
+def _once(part: np.ndarray, owners: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens without those of owners that are in the part before, and the number of each one's owner."""
+    order = np.lexsort((owners["lo"], owners["hi"], part))
+    copy = np.ones(len(order), bool)
+    copy[order[_runs(part[order], owners["hi"][order], owners["lo"][order])]] = False
+    of = np.repeat(np.arange(len(owners)), owners["count"])
+    return (data[~copy[of]], of[~copy[of]]) if copy.any() else (data, of)
+
+
 def _token_keys(data: np.ndarray, part: np.ndarray) -> np.ndarray:
     wide = np.zeros((len(data), 8), np.uint8)
     wide[:, :_TOKEN_BYTES] = data[:, :_TOKEN_BYTES]
     return wide.view("<u8").ravel() | (part.astype(_U) << _U(8 * _TOKEN_BYTES))
 
 
-def _dealt(df: DataFrame, text: str, words: int, parts: int) -> DataFrame:
+def _dealt(df: DataFrame, text: str, words: int, parts: int, hot: Broadcast) -> DataFrame:
     """The tokens of a chunk of texts, one row per part. A task deals a class once, so copies are mostly dropped here."""
 
     def run(batches):
@@ -190,18 +327,11 @@ def _dealt(df: DataFrame, text: str, words: int, parts: int) -> DataFrame:
                 names = np.zeros(len(texts), _OWNER)
                 name = _names(sets, stop)
                 names["hi"], names["lo"], names["n"] = name[:, 0], name[:, 1], np.diff(stop, prepend=0)
-                new = np.zeros(len(texts), bool)
-                for i, pair in enumerate(map(tuple, name.tolist())):
-                    if names["n"][i] and pair not in met:
-                        met.add(pair)
-                        new[i] = True
+                new = (names["n"] > 0) & _unmet(name, met)
                 owner = np.repeat(np.arange(len(texts)), names["n"])
                 sets, owner = sets[new[owner]], owner[new[owner]]
-                if len(sets):
-                    part = (((sets >> _U(40)) * _U(parts)) >> _U(24)).astype(np.int32)
-                    order = np.argsort(part, kind="stable")
-                    low = sets[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
-                    yield _packed_rows(part[order], owner[order], names, low)
+                part, key = _key_of(sets, parts)
+                yield from _dealt_rows(key, part, owner, names, parts, hot.value)
 
     return df.select(F.col(text).alias("text")).mapInArrow(run, _PACKED)
 
@@ -214,16 +344,17 @@ def _counted(buckets: int, by_component: bool):
 
     def run(batches):
         held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        part, owners, data = _unpacked(held, _TOKEN_BYTES)
+        part, owners, data = _unpacked([b.filter(b.column(1)) for b in held], _HOT_BYTES)
+        if len(data):
+            data, of = _once(part, owners, data)
+            order = np.argsort(part[of], kind="stable")
+            rows = _packed_rows(part[of][order].astype(np.int32), of[order], owners, data[order], hot=True)
+            yield _of_part(rows, -1)
+        part, owners, data = _unpacked([b.filter(pc.invert(b.column(1))) for b in held], _TOKEN_BYTES)
         del held
-        order = np.lexsort((owners["lo"], owners["hi"], part))
-        copy = np.ones(len(order), bool)
-        copy[order[_runs(part[order], owners["hi"][order], owners["lo"][order])]] = False
-        of = np.repeat(np.arange(len(owners)), owners["count"])
-        if copy.any():
-            data, of = data[~copy[of]], of[~copy[of]]
+        if not len(data):
+            return
+        data, of = _once(part, owners, data)
         token = _token_keys(data, part[of])
         order = np.lexsort((owners["lo"][of], token)) if by_component else np.argsort(token)
         border = np.append(_runs(token[order]), len(order))
@@ -239,58 +370,96 @@ def _counted(buckets: int, by_component: bool):
         data, of, frequency = data[shared], of[shared], frequency[shared]
         packed = np.empty((len(data), _TOKEN_BYTES + 1), np.uint8)
         packed[:, :_TOKEN_BYTES] = data
-        packed[:, _TOKEN_BYTES] = np.minimum(255, 8 * np.log2(np.maximum(frequency, 1)))
-        bucket = (owners["hi"].astype(_U) % _U(buckets)).astype(np.int32)
+        packed[:, _TOKEN_BYTES] = _class_of(frequency)
+        bucket = _bucket(owners, buckets)
         for own in np.unique(part[of]):
             chosen = np.flatnonzero(part[of] == own)
             chosen = chosen[np.argsort(bucket[of[chosen]], kind="stable")]
-            rows = _packed_rows(bucket[of[chosen]], of[chosen], owners, packed[chosen])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(np.full(rows.num_rows, own, np.int32)), *rows.columns[1:]],
-                ["bucket", "part", "owners", "tokens"],
-            )
+            yield _of_part(_packed_rows(bucket[of[chosen]], of[chosen], owners, packed[chosen]), own)
 
     return run
 
 
-def _joined(batches):
+def _of_part(rows: pa.RecordBatch, part: int) -> pa.RecordBatch:
+    """Packed rows by bucket, with the part that their tokens are from; -1 for hot ones."""
+    columns = [rows.column(0), pa.array(np.full(rows.num_rows, part, np.int32)), *rows.columns[2:]]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "part", "owners", "tokens"])
+
+
+def _joined(hot: Broadcast):
     """One row per set of the bucket that can have a partner: its shared tokens, sorted, and their frequency classes."""
-    held = [b.select(["part", "owners", "tokens"]) for b in batches if b.num_rows]
-    if not held:
-        return
-    part, owners, data = _unpacked(held, _TOKEN_BYTES + 1)
-    del held
-    of = np.repeat(np.arange(len(owners)), owners["count"])
-    token = _token_keys(data, part[of])
-    order = np.lexsort((owners["lo"], owners["hi"]))
-    begin = _runs(owners["hi"][order], owners["lo"][order])
-    number = np.empty(len(owners), np.int64)
-    number[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
-    names = owners[order[begin]]
-    shared = np.bincount(number[of], minlength=len(names))
-    order = np.lexsort((token, number[of]))
-    token, kind = token[order], data[order, _TOKEN_BYTES]
-    edge = np.concatenate(([0], np.cumsum(shared)))
-    able = np.flatnonzero(shared * OF >= names["n"].astype(np.int64) * SHARED)
-    for a in range(0, len(able), 500):
-        own = able[a : a + 500]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names["hi"][own]), pa.array(names["lo"][own]), pa.array(names["n"][own]),
-             pa.array([token[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary()),
-             pa.array([kind[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary())],
-            ["hi", "lo", "n", "tokens", "classes"],
-        )
-
-
-def _able(dealt: DataFrame, parts: int, by_component: bool) -> DataFrame:
+
+    def run(batches):
+        held = [b.select(["part", "owners", "tokens"]) for b in batches if b.num_rows]
+        if not held:
+            return
+        is_hot = [pc.equal(b.column(0), -1) for b in held]
+        part, owners, data = _unpacked([b.filter(pc.invert(h)) for b, h in zip(held, is_hot, strict=True)], _TOKEN_BYTES + 1)
+        _, hot_owners, numbers = _unpacked([b.filter(h) for b, h in zip(held, is_hot, strict=True)], _HOT_BYTES)
+        del held
+        of = np.repeat(np.arange(len(owners)), owners["count"])
+        token, kind = _token_keys(data, part[of]), data[:, _TOKEN_BYTES]
+        numbers = np.ascontiguousarray(numbers).view("<i4").ravel()
+        of = np.concatenate((of, np.repeat(np.arange(len(hot_owners)) + len(owners), hot_owners["count"])))
+        owners = np.concatenate((owners, hot_owners))
+        token = np.concatenate((token, hot.value.keys[numbers]))
+        kind = np.concatenate((kind, hot.value.classes[numbers]))
+        order = np.lexsort((owners["lo"], owners["hi"]))
+        begin = _runs(owners["hi"][order], owners["lo"][order])
+        number = np.empty(len(owners), np.int64)
+        number[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+        names = owners[order[begin]]
+        shared = np.bincount(number[of], minlength=len(names))
+        order = np.lexsort((token, number[of]))
+        token, kind = token[order], kind[order]
+        edge = np.concatenate(([0], np.cumsum(shared)))
+        able = np.flatnonzero(shared * OF >= names["n"].astype(np.int64) * SHARED)
+        for a in range(0, len(able), 500):
+            own = able[a : a + 500]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names["hi"][own]), pa.array(names["lo"][own]), pa.array(names["n"][own]),
+                 pa.array([token[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary()),
+                 pa.array([kind[edge[i] : edge[i + 1]].tobytes() for i in own], pa.binary())],
+                ["hi", "lo", "n", "tokens", "classes"],
+            )
+
+    return run
+
+
+def _able(dealt: DataFrame, parts: int, by_component: bool, hot: Broadcast) -> DataFrame:
     """The sets (hi, lo, n, tokens, classes) with enough tokens in common with other sets, or other components."""
     dealt = dealt.repartitionById(parts, F.col("part"))
-    shared = dealt.mapInArrow(_counted(parts, by_component), f"bucket int, {_PACKED}")
+    shared = dealt.mapInArrow(_counted(parts, by_component), "bucket int, part int, owners binary, tokens binary")
     shared = shared.repartitionById(parts, F.col("bucket"))
-    return shared.mapInArrow(_joined, "hi long, lo long, n int, tokens binary, classes binary")
+    return shared.mapInArrow(_joined(hot), "hi long, lo long, n int, tokens binary, classes binary")
 
 
-def _dealt_again(sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _several_components(sets: DataFrame, labels: DataFrame, hot: Hot) -> Hot:
+    """The hot tokens; live are those that occur in several components."""
+    if not len(hot.keys):
+        return hot
+    held = sets.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches):
+        low = np.full(len(held.value.keys), np.iinfo(np.int64).max)
+        high = np.full(len(low), -1)
+        for batch in batches:
+            raw = [np.frombuffer(t, "<u8") for t in batch.column(1).to_pylist()]
+            comp = np.repeat(batch.column(0).to_numpy(), [len(t) for t in raw])
+            number = held.value.find(np.concatenate(raw)) if raw else np.zeros(0, np.int32)
+            np.minimum.at(low, number[number >= 0], comp[number >= 0])
+            np.maximum.at(high, number[number >= 0], comp[number >= 0])
+        met = np.flatnonzero(high >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(low[met]), pa.array(high[met])], ["number", "low", "high"])
+
+    ends = _labelled(sets.select("id", "tokens"), labels).select("comp", "tokens").mapInArrow(run, "number long, low long, high long")
+    ends = ends.groupBy("number").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    live = np.zeros(len(hot.keys), bool)
+    live[[r["number"] for r in ends.where(F.col("low") < F.col("high")).collect()]] = True
+    return Hot(hot.keys, hot.classes, live)
+
+
+def _dealt_again(sets: DataFrame, labels: DataFrame, parts: int, hot: Broadcast) -> DataFrame:
     """The tokens of sets, dealt as at first; a set is named by its id and component."""
 
     def run(batches):
@@ -300,12 +469,9 @@ def _dealt_again(sets: DataFrame, labels: DataFrame) -> DataFrame:
             for i, field in enumerate(("hi", "lo", "n")):
                 names[field] = batch.column(i).to_numpy()
             owner = np.repeat(np.arange(len(raw)), [len(t) for t in raw])
-            token = np.concatenate(raw) if raw else np.zeros(0, _U)
-            part = (token >> _U(8 * _TOKEN_BYTES)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            low = token[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TOKEN_BYTES]
-            if len(token):
-                yield _packed_rows(part[order], owner[order], names, low)
+            key = np.concatenate(raw) if raw else np.zeros(0, _U)
+            part = (key >> _U(8 * _TOKEN_BYTES)).astype(np.int32)
+            yield from _dealt_rows(key, part, owner, names, parts, hot.value)
 
     return _labelled(sets.select("id", "n", "tokens"), labels).select("id", "comp", "n", "tokens").mapInArrow(run, _PACKED)
 
@@ -469,11 +635,12 @@ def _candidates(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
-def _linked(df: DataFrame, text: str, words: int) -> DataFrame:
+def _linked(df: DataFrame, text: str, words: int, hot: Hot) -> DataFrame:
     """(hi, lo, comp) of the classes that similarity links to another one; equal `comp` where links reach."""
     spark = df.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 20)
-    sets = _able(_dealt(df, text, words, parts), parts, by_component=False)
+    parts = _parts(spark)
+    held = spark.sparkContext.broadcast(hot)
+    sets = _able(_dealt(df, text, words, parts, held), parts, False, held)
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     prefixes = _prefix_rows(sets)
     links, labels = None, None
@@ -484,7 +651,8 @@ def _linked(df: DataFrame, text: str, words: int) -> DataFrame:
         labels = components(links)
 
     # Tokens of one component cannot link it to another one: they count as those of a single set did.
-    rest = _able(_dealt_again(sets, labels), parts, by_component=True)
+    held = spark.sparkContext.broadcast(_several_components(sets, labels, hot))
+    rest = _able(_dealt_again(sets, labels, parts, held), parts, True, held)
     rest = materialize(rest.select(F.col("hi").alias("id"), "n", "tokens", "classes"), "sets")
     pairs = _candidates(_labelled(_prefix_rows(rest), labels), rest)
     labels = components(links.union(materialize(_verified(pairs, rest), "links")))
@@ -498,8 +666,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     Null, empty and blank texts have no shingle and stand alone. Rows with the same key are one document. An empty
     table gives an empty result; other columns of `df` are not read.
     """
-    base = materialize(classes_of(df, key, text, words), "classes")
-    linked = _linked(df, text, words)
+    base, hot = _classes_and_hot(df, key, text, words)
+    linked = _linked(df, text, words, hot)
     smallest = base.groupBy("hi", "lo").agg(F.min("key").alias("first"))
     groups = linked.join(smallest, ["hi", "lo"])
     group = groups.groupBy("comp").agg(F.min("first").alias("component"))
@@ -517,13 +685,13 @@ def first_of_each_group(df: DataFrame, key: str = "doc_id", text: str = "text",
     """
     bare = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rest = df.where(~bare)
-    base = materialize(classes_of(rest, key, text, words), "classes")
+    base, hot = _classes_and_hot(rest, key, text, words)
     keys = base.groupBy("hi", "lo", "key").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "n")).alias("first")
     classes = materialize(keys.groupBy("hi", "lo").agg(first).select("hi", "lo", "first.*"), "first")
 
     # A linked class stays if its key is the smallest of its group.
-    linked = materialize(_linked(rest, text, words), "linked")
+    linked = materialize(_linked(rest, text, words, hot), "linked")
     leads = linked.join(classes, ["hi", "lo"]).groupBy("comp").agg(F.min(F.struct("no_key", "key", "hi", "lo")).alias("lead"))
     leads = leads.select("lead.hi", "lead.lo")
     others = linked.select("hi", "lo").join(leads, ["hi", "lo"], "left_anti")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from millrace.llm import jaccard
@@ -112,3 +113,38 @@ def test_components_of_a_path(spark):
     n = 40
     links = spark.createDataFrame([(i + 1, i) for i in range(n)], "a long, b long")
     assert {r["comp"] for r in jaccard.components(links).collect()} == {0}
+
+
+def test_summary_misses_at_most_its_share():
+    pick = np.random.default_rng(3)
+    tokens = np.concatenate((np.repeat(np.arange(8, dtype=np.uint64), 400), pick.integers(100, 10_000, 4_000).astype(np.uint64)))
+    pick.shuffle(tokens)
+    summary = jaccard._Summary(40)
+    for piece in np.array_split(tokens, 30):
+        summary.add(piece)
+    held = dict(zip(summary.tokens.tolist(), summary.times.tolist(), strict=True))
+    assert len(held) <= 40 and summary.total == len(tokens)
+    for token in range(8):
+        true = int((tokens == token).sum())
+        assert true - len(tokens) / 40 <= held[token] <= true
+
+
+def test_a_passage_in_every_document_is_spread(spark):
+    """No part is dealt more than its share of a shingle that all sets have, and no link is lost or made up by it."""
+    passage = " ".join(f"p{i}" for i in range(7))
+    docs = [(d, f"{text} {passage}" if text.count(" ") < 60 else text) for d, text in corpus(5, 240, words=12)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        _, hot = jaccard._classes_and_hot(rows, "doc_id", "text", 5)
+        assert 3 <= len(hot.keys) <= jaccard.ROOM * 24
+        dealt = jaccard._dealt(rows, "text", 5, 24, spark.sparkContext.broadcast(hot)).collect()
+        sizes = dict.fromkeys(range(24), 0)
+        for r in dealt:
+            sizes[r["part"]] += len(r["tokens"]) // (4 if r["hot"] else 5)
+        # The passage alone would put some 200 tokens, one a set, into one part for each of its shingles.
+        assert max(sizes.values()) < 2.5 * sum(sizes.values()) / 24
+        assert found(spark, docs) == brute(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
