@@ -6,7 +6,7 @@ token. Second tier, for the others: the bytes form a doubly linked list, and a h
 the lowest rank, leftmost first, until no pair is in the vocabulary; O(n log n) for a pre-token of any length.
 
 The table is built once on the driver and broadcast; its size is that of the vocabulary. Tasks remember the ids
-of pre-tokens they met, at most `REMEMBERED` of them. A text is one row and never split over tasks.
+of pre-tokens they met, in two generations of at most `REMEMBERED`: a full one replaces the older. A text is one row and never split over tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import hashlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,10 @@ from pyspark.sql import types as T
 
 from millrace.llm.common import mix64, shared, table
 
-REMEMBERED = 250_000  # some 120 bytes each, as long ones are not remembered
+REMEMBERED = 80_000  # some 160 bytes each, as long ones are not remembered
+_ROWS = 200  # texts that are encoded before their rows go on
+_LONG = 1 << 18  # texts with more characters are cut into pre-tokens block by block
+_BLOCK = 50_000  # pre-tokens in a block
 _LOAD = 4  # mean keys per displacement bucket
 _WHOLE = 32  # pre-tokens longer than this are not remembered
 
@@ -114,8 +118,9 @@ class Codec:
     def _prepare(self) -> None:
         self._merges = dict(zip(self.keys, self.ranks.tolist(), strict=True))
         self._by_rank = dict(zip(self.ranks.tolist(), self.keys, strict=True))
-        self._cut = regex.compile(self.pattern).findall
+        self._pattern = regex.compile(self.pattern)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _merged(self, piece: bytes) -> list[int]:
         """Second tier: merge the lowest-ranked adjacent pair, leftmost first, while there is one."""
@@ -165,26 +170,33 @@ class Codec:
                 found[piece] = np.array(self._merged(key), "<u4").tobytes()
         return found
 
+    def _blocks(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, at once or, of a long one, in blocks."""
+        if len(text) <= _LONG:
+            yield self._pattern.findall(text)
+            return
+        found = self._pattern.finditer(text)
+        while block := [m.group() for m in islice(found, _BLOCK)]:
+            yield block
+
+    def _ids(self, pieces: list[str]) -> bytes:
+        known, older = self._known, self._older
+        if not (new := {p for p in pieces if p not in known}):
+            return b"".join([known[p] for p in pieces])
+        resolved = {p: older[p] for p in new if p in older}
+        if fresh := [p for p in new if p not in resolved]:
+            resolved.update(self._resolve(fresh))
+        long = {p: resolved.pop(p) for p in new if len(p) > _WHOLE}
+        if len(known) + len(resolved) > REMEMBERED:
+            self._older = known
+            known = self._known = {p: known[p] for p in set(pieces) if p in known}
+        known.update(resolved)
+        return b"".join([known[p] if p in known else long[p] for p in pieces] if long else [known[p] for p in pieces])
+
     def encode_batch(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null has none."""
         for text in texts:
-            pieces = self._cut(text) if text else []
-            known = self._known
-            if new := list({p for p in pieces if p not in known}):
-                resolved = self._resolve(new)
-                if any(len(p) > _WHOLE for p in new):
-                    long = {p: resolved.pop(p) for p in new if len(p) > _WHOLE}
-                else:
-                    long = None
-                if len(known) + len(resolved) > REMEMBERED:
-                    kept = {p: known[p] for p in set(pieces) if p in known}
-                    known.clear()
-                    known.update(kept)
-                known.update(resolved)
-                if long:
-                    yield b"".join([known[p] if p in known else long[p] for p in pieces])
-                    continue
-            yield b"".join([known[p] for p in pieces])
+            yield b"".join(map(self._ids, self._blocks(text))) if text else b""
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that a sequence of ids (as `encode_batch` gives it) stands for."""
@@ -209,8 +221,10 @@ def _mapped(df: DataFrame, text: str, path: str, fields: list[T.StructField], ro
     schema = T.StructType([*rows.schema.fields[:-1], *fields])
 
     def run(batches):
+        # What earlier tasks of this worker left in Arrow's pool would stay beside the vocabulary.
+        pa.default_memory_pool().release_unused()
         used = held.value
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             values = [row(used, ids) for ids in used.encode_batch(batch.column(len(kept)).to_pylist())]
             columns = [list(c) for c in zip(*values, strict=True)] or [[] for _ in fields]
             made = [pa.array(c, _ARROW[f.dataType]) for c, f in zip(columns, fields, strict=True)]

@@ -56,6 +56,13 @@ def test_little_memory(codec, library, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == (library.encode_ordinary(text) if text else [])
 
 
+def test_long_texts_go_block_by_block(codec, monkeypatch):
+    whole = list(codec.encode_batch(texts()))
+    monkeypatch.setattr(bpe, "_LONG", 5)
+    monkeypatch.setattr(bpe, "_BLOCK", 3)
+    assert list(codec.encode_batch(texts())) == whole
+
+
 def test_operators(spark, library):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
     rows = rows.selectExpr("*", "'x' as token_ids", "0 as n_tokens", "1 as decoded")
