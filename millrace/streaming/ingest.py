@@ -56,14 +56,17 @@ def replay_safe_files(path: str) -> BatchWriter:
 
 
 def append_new_keys(path: str, keys: Sequence[str], schema: str) -> BatchWriter:
-    """Like `replay_safe_files`, for rows whose key tuple was not stored by an earlier batch."""
+    """Like `replay_safe_files`, for rows whose key tuple was not stored by an earlier batch.
+
+    The stored keys meet the batch by a shuffle: a broadcast would take all of them through the driver once a batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates(list(keys))
         if batch_id > 0:
             stored = spark.read.schema(f"{schema}, batch_id int").parquet(path)
-            fresh = not_yet_loaded(fresh, stored.where(F.col("batch_id") < batch_id), keys)
+            fresh = not_yet_loaded(fresh, stored.where(F.col("batch_id") < batch_id).hint("merge"), keys)
         replay_safe_files(path)(fresh, batch_id)
 
     return write

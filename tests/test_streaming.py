@@ -41,6 +41,29 @@ def test_only_new_keys_are_appended(spark, rows):
     assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "a"), (2, "b")]
 
 
+def test_stored_keys_stay_off_the_driver(spark, rows, monkeypatch):
+    """However few keys are stored, no batch broadcasts them: the batches would add up. A null key stays new."""
+    target, plans = scratch_path(spark, "out"), []
+    plain = ingest.replay_safe_files
+
+    def watched(path):
+        def write(batch, batch_id):
+            batch.collect()
+            plans.append(batch._jdf.queryExecution().executedPlan().toString())
+            plain(path)(batch, batch_id)
+
+        return write
+
+    monkeypatch.setattr(ingest, "replay_safe_files", watched)
+    write = ingest.append_new_keys(target, ["k"], SCHEMA)
+    batches = [[(1, 1, "a"), (None, 1, "n")], [(1, 2, "again"), (2, 2, "b"), (None, 2, "n")], [(3, 3, "c"), (2, 3, "again")]]
+    for batch_id, batch in enumerate(batches):
+        write(spark.createDataFrame(batch, SCHEMA), batch_id)
+    assert [plan.count("Broadcast") for plan in plans] == [0, 0, 0]
+    assert all("LeftAnti" in plan for plan in plans[1:])
+    assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "a"), (2, "b"), (3, "c"), (None, "n"), (None, "n")]
+
+
 def test_merge_latest(spark, rows):
     folder, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "cp")
     table = f"{scratch_schema(spark, 'latest')}.t"
