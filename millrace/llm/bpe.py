@@ -2,10 +2,12 @@
 
 A text is cut into pre-tokens by the vocabulary's pattern. First tier: a minimal perfect hash over the vocabulary
 (hash and displace) finds the one slot where a pre-token can be; if the bytes there are equal, its rank is the only
-token. Second tier, for the others: the bytes form a doubly linked list, and a heap yields the adjacent pair with
-the lowest rank, leftmost first, until no pair is in the vocabulary; O(n log n) for a pre-token of any length.
+token. Second tier, for the others: the bytes form a doubly linked list, and a queue yields the adjacent pair with
+the lowest rank, leftmost first, until no pair is in the vocabulary. The queue of a pre-token of more than `_SHORT`
+bytes is a heap, so O(n log n) for any length. Shorter ones are merged many at once: links and pairs of each are a row
+of arrays, the least of the row is the pair to merge, and each round merges one pair of every row that has one left.
 
-The table is built once on the driver and broadcast; its size is that of the vocabulary. Tasks remember the ids
+The tables are built once on the driver and broadcast; their size is that of the vocabulary. Tasks remember the ids
 of pre-tokens they met, in two generations of at most `REMEMBERED`: a full one replaces the older. A text is one row and never split over tasks.
 """
 
@@ -33,10 +35,12 @@ from millrace.llm.common import mix64, shared, table
 
 REMEMBERED = 80_000  # some 160 bytes each, as long ones are not remembered
 _ROWS = 200  # texts that are encoded before their rows go on
-_LONG = 1 << 18  # texts with more characters are cut into pre-tokens block by block
+_LONG = 1 << 18  # texts with more characters are cut into pre-tokens block by block; others share this many
 _BLOCK = 50_000  # pre-tokens in a block
 _LOAD = 4  # mean keys per displacement bucket
 _WHOLE = 32  # pre-tokens longer than this are not remembered
+_SHORT = 64  # bytes of a pre-token that is merged as a row
+_TOGETHER = 2048  # such rows at once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,6 +100,60 @@ class PerfectHash:
         return self.slot_key[self._slots(hashes, self.displacement[(hashes % np.uint64(self.buckets)).astype(np.int64)])]
 
 
+class RowMerges:
+    """The second tier for many short pre-tokens at once. Tokens are numbered by rank, so the least number goes first."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        keys = sorted(ranks, key=ranks.__getitem__)
+        number = {key: i for i, key in enumerate(keys)}
+        self.none = len(keys)
+        self.ranks = np.array([ranks[key] for key in keys], "<u4")
+        self.single = np.array([number[bytes([b])] for b in range(256)])
+        pairs = {}  # every cut of a token into two
+        for key, i in number.items():
+            for cut in range(1, len(key)):
+                left, right = number.get(key[:cut]), number.get(key[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = i
+        self.pairs = np.array([*sorted(pairs), np.iinfo(np.int64).max])
+        self.merged = np.array([*(pairs[p] for p in self.pairs[:-1].tolist()), self.none])
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token that two neighbours make, or `none`."""
+        pair = left << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.merged[at], self.none)
+
+    def merge(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """Ids of each pre-token as little-endian 32-bit integers."""
+        # A column more on both sides takes what goes beyond the ends; no token is there, so nothing merges with it.
+        width = max(map(len, pieces)) + 2
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"".join([b"\0" + p.ljust(width - 1, b"\0") for p in pieces]), np.uint8)
+        column = np.arange(width)
+        inside = ((column > 0) & (column <= lengths[:, None])).ravel()
+        ids = np.where(inside, self.single[raw], self.none)
+        pair = np.full(len(raw), self.none)
+        pair[:-1] = self._pair(ids[:-1], ids[1:])
+        after, before = np.arange(1, len(raw) + 1), np.arange(-1, len(raw) - 1)
+        queues = pair.reshape(-1, width)
+        rows = np.arange(len(pieces))
+        while len(rows):
+            left = queues[rows].argmin(axis=1) + rows * width
+            made = pair[left]
+            if not (left_over := made < self.none).all():
+                rows, left, made = rows[left_over], left[left_over], made[left_over]
+            middle = after[left]
+            stop, first = after[middle], before[left]
+            ids[left], ids[middle], pair[middle] = made, self.none, self.none
+            after[left], before[stop] = stop, left
+            pair[left], pair[first] = self._pair(made, ids[stop]), self._pair(ids[first], made)
+        kept = ids < self.none
+        ends = (4 * np.cumsum(kept.reshape(-1, width).sum(axis=1))).tolist()
+        found = self.ranks[ids[kept]].tobytes()
+        return [found[begin:end] for begin, end in zip([0, *ends], ends)]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary. All 256 single bytes must be in it."""
 
@@ -106,13 +164,14 @@ class Codec:
         self.keys = list(ranks)
         self.ranks = np.fromiter(ranks.values(), np.uint32, len(ranks))
         self.hash = PerfectHash(self.keys)
+        self.rows = RowMerges(ranks)
         self._prepare()
 
     def __getstate__(self):
-        return self.pattern, self.keys, self.ranks, self.hash
+        return self.pattern, self.keys, self.ranks, self.hash, self.rows
 
     def __setstate__(self, state):
-        self.pattern, self.keys, self.ranks, self.hash = state
+        self.pattern, self.keys, self.ranks, self.hash, self.rows = state
         self._prepare()
 
     def _prepare(self) -> None:
@@ -162,41 +221,56 @@ class Codec:
     def _resolve(self, pieces: Sequence[str]) -> dict[str, bytes]:
         """Ids of distinct pre-tokens as little-endian 32-bit integers."""
         raw = [p.encode() for p in pieces]
-        found = {}
+        found, short = {}, []
         for piece, key, number in zip(pieces, raw, self.hash.lookup(raw).tolist(), strict=True):
             if self.keys[number] == key:
                 found[piece] = int(self.ranks[number]).to_bytes(4, "little")
-            else:
+            elif len(key) > _SHORT:
                 found[piece] = np.array(self._merged(key), "<u4").tobytes()
+            else:
+                short.append((key, piece))
+        short.sort(key=lambda pair: len(pair[0]))  # rows of much the same length go together
+        for at in range(0, len(short), _TOGETHER):
+            keys, same = zip(*short[at : at + _TOGETHER], strict=True)
+            found.update(zip(same, self.rows.merge(keys), strict=True))
         return found
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
-        """The pre-tokens of a text, at once or, of a long one, in blocks."""
-        if len(text) <= _LONG:
-            yield self._pattern.findall(text)
-            return
+        """The pre-tokens of a long text in blocks."""
         found = self._pattern.finditer(text)
         while block := [m.group() for m in islice(found, _BLOCK)]:
             yield block
 
-    def _ids(self, pieces: list[str]) -> bytes:
+    def _ids(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts cut into pre-tokens; what is new in any of them is resolved at once."""
         known, older = self._known, self._older
-        if not (new := {p for p in pieces if p not in known}):
-            return b"".join([known[p] for p in pieces])
+        new = {p for pieces in texts for p in pieces if p not in known}
         resolved = {p: older[p] for p in new if p in older}
         if fresh := [p for p in new if p not in resolved]:
             resolved.update(self._resolve(fresh))
         long = {p: resolved.pop(p) for p in new if len(p) > _WHOLE}
         if len(known) + len(resolved) > REMEMBERED:
             self._older = known
-            known = self._known = {p: known[p] for p in set(pieces) if p in known}
+            known = self._known = {p: known[p] for pieces in texts for p in pieces if p in known}
         known.update(resolved)
-        return b"".join([known[p] if p in known else long[p] for p in pieces] if long else [known[p] for p in pieces])
+        if long:
+            return [b"".join([known[p] if p in known else long[p] for p in pieces]) for pieces in texts]
+        return [b"".join([known[p] for p in pieces]) for pieces in texts]
 
     def encode_batch(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null has none."""
+        waiting, held = [], 0
         for text in texts:
-            yield b"".join(map(self._ids, self._blocks(text))) if text else b""
+            size = len(text or "")
+            if held + size > _LONG:
+                yield from self._ids(waiting)
+                waiting, held = [], 0
+            if size > _LONG:
+                yield b"".join(ids for block in self._blocks(text) for ids in self._ids([block]))
+                continue
+            waiting.append(self._pattern.findall(text) if text else [])
+            held += size
+        yield from self._ids(waiting)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that a sequence of ids (as `encode_batch` gives it) stands for."""

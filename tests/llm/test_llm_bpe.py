@@ -63,6 +63,39 @@ def test_long_texts_go_block_by_block(codec, monkeypatch):
     assert list(codec.encode_batch(texts())) == whole
 
 
+def words():
+    pick = random.Random(2)
+    return ["".join(pick.choice("abcdeéñ漢字ß") for _ in range(pick.randrange(2, 90))) for _ in range(3000)]
+
+
+def test_short_words_are_merged_together(codec, library, monkeypatch):
+    """New words of several texts cost a few calls, not one each; only long ones are merged alone."""
+    fresh, alone, together = bpe.Codec(bpe.read_ranks(bpe.VOCABULARY)), [], []
+    one, many = fresh._merged, fresh.rows.merge
+    monkeypatch.setattr(fresh, "_merged", lambda piece: alone.append(piece) or one(piece))
+    monkeypatch.setattr(fresh.rows, "merge", lambda pieces: together.append(len(pieces)) or many(pieces))
+    texts = [" ".join(words()[at : at + 10]) for at in range(0, 3000, 10)]
+    for text, ids in zip(texts, fresh.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+    assert min(map(len, alone)) > 64
+    assert sum(together) > 1000 and len(together) <= 3
+
+
+def test_rows_and_heap_agree(codec):
+    for size in (1, 2, 700):
+        pieces = [w.encode() for w in words()[:size]] + [b"aaaa", b"\xff\x00", b" ", b"a"]
+        assert [np.frombuffer(i, "<u4").tolist() for i in codec.rows.merge(pieces)] == [codec._merged(p) for p in pieces]
+
+
+def test_later_merge_with_a_lower_rank():
+    """A pair that a merge makes can come before pairs that were there: ranks need not grow with length."""
+    ranks = {bytes([b]): b + 10 for b in range(256)} | {b"abc": 0, b"ab": 1, b"bc": 300, b"abcabc": 301, b"ca": 2}
+    made = bpe.Codec(ranks)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcabc", "bcabca", "cabcab", "ababcc", "abcabcabc", "a"):
+        assert np.frombuffer(next(made.encode_batch([text])), "<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_operators(spark, library):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
     rows = rows.selectExpr("*", "'x' as token_ids", "0 as n_tokens", "1 as decoded")
